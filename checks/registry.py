@@ -50,6 +50,11 @@ def audited() -> Column:
     return timestamp_literal(AUDIT_TS)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """A table in the shared folder that holds ``df``: what is read more than once is computed once."""
+    return overwrite(df, shared_folder(df.sparkSession))
+
+
 # -- trips
 
 
@@ -145,7 +150,7 @@ def golden_zones(spark, sf):
 
 @query
 def golden_zones_audit(spark, sf):
-    return q.golden_audit(zones_raw(spark, sf), golden_zones(spark, sf), q.ZONE_AUDIT_LABELS, audited())
+    return q.golden_audit(m.standardize_zones(zones_raw(spark, sf)), "locationid", q.ZONE_AUDIT_LABELS, audited())
 
 
 @query
@@ -165,8 +170,7 @@ def golden_vendors(spark, sf):
 
 @query
 def golden_vendors_audit(spark, sf):
-    trips = processed_trips(spark, sf)
-    return q.golden_audit(trips, m.golden_vendors(trips), q.VENDOR_AUDIT_LABELS, audited())
+    return q.golden_audit(processed_trips(spark, sf), "vendorid", q.VENDOR_AUDIT_LABELS, audited())
 
 
 @query
@@ -191,9 +195,15 @@ def golden_batch(spark, sf, batch: int) -> DataFrame:
     return m.golden_zones(zones_raw(spark, sf, batch))
 
 
-def known_vendors(spark, sf) -> DataFrame:
+def known(vendors: DataFrame) -> DataFrame:
     """The first vendor delivery: only vendors of the dictionary. The others arrive later."""
-    return golden_vendors(spark, sf).filter(F.col("vendor_name") != m.UNKNOWN_VENDOR)
+    return vendors.filter(F.col("vendor_name") != m.UNKNOWN_VENDOR)
+
+
+def first_and_staged(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """The dimension after batch 1 and the staged changes of batch 2, written: each is read more than once."""
+    dim = written(scd2_initial(spark, sf))
+    return dim, written(s.scd2_stage(s.scd2_changes(golden_batch(spark, sf, 2), dim, s.ZONES), s.ZONES, at(2)))
 
 
 @query
@@ -218,34 +228,36 @@ def scd2_stage(spark, sf):
 
 @query
 def scd2_expire(spark, sf):
-    return s.scd2_expire(scd2_initial(spark, sf), scd2_changes(spark, sf), s.ZONES, at(2))
+    dim, staged = first_and_staged(spark, sf)
+    return s.scd2_expire(dim, staged.filter("op = 'expire'"), s.ZONES, at(2))
 
 
 @query
 def scd2_merge(spark, sf):
-    return s.scd2_merge(scd2_initial(spark, sf), scd2_stage(spark, sf), s.ZONES, at(2))
+    return s.scd2_merge(*first_and_staged(spark, sf), s.ZONES, at(2))
+
+
+def scd2_audit_of(golden: DataFrame, dim: DataFrame, batch: int) -> DataFrame:
+    golden = written(golden)
+    staged = s.scd2_stage(s.scd2_changes(golden, dim, s.ZONES), s.ZONES, at(batch))
+    return s.scd2_audit(staged, F.lit(golden.count()).cast("bigint"), s.ZONES, at(batch))
 
 
 @query
 def scd2_audit(spark, sf):
-    golden = golden_batch(spark, sf, 2).count()
-    return s.scd2_audit(scd2_stage(spark, sf), F.lit(golden).cast("bigint"), s.ZONES, at(2))
+    return scd2_audit_of(golden_batch(spark, sf, 2), scd2_initial(spark, sf), 2)
 
 
 @query
 def scd2_noop(spark, sf):
-    golden = golden_batch(spark, sf, 3)
-    merged = scd2_merge(spark, sf)
-    staged = s.scd2_stage(s.scd2_changes(golden, merged, s.ZONES), s.ZONES, at(3))
-    return s.scd2_audit(staged, F.lit(golden.count()).cast("bigint"), s.ZONES, at(3))
+    return scd2_audit_of(golden_batch(spark, sf, 3), scd2_merge(spark, sf), 3)
 
 
 @query
 def scd2_vendors(spark, sf):
-    golden = overwrite(golden_vendors(spark, sf), f"{shared_folder(spark)}/vendors")
-    known = golden.filter(F.col("vendor_name") != m.UNKNOWN_VENDOR)
-    dim = s.scd2_initial(known, s.VENDORS, at(1))
-    staged = s.scd2_stage(s.scd2_changes(golden, dim, s.VENDORS), s.VENDORS, at(2))
+    golden = written(golden_vendors(spark, sf))
+    dim = written(s.scd2_initial(known(golden), s.VENDORS, at(1)))
+    staged = written(s.scd2_stage(s.scd2_changes(golden, dim, s.VENDORS), s.VENDORS, at(2)))
     return s.scd2_merge(dim, staged, s.VENDORS, at(2))
 
 
@@ -267,13 +279,6 @@ def zone_table(spark, sf, batches) -> VersionedTable:
     return dim
 
 
-def vendor_table(spark, sf) -> VersionedTable:
-    dim = VersionedTable(spark, f"{shared_folder(spark)}/{s.VENDORS.name}", s.VENDORS)
-    golden = overwrite(known_vendors(spark, sf), f"{dim.path}/golden/{BATCHES[1].run_id}")
-    dim.upsert(golden, BATCHES[1], "known vendors")
-    return dim
-
-
 @query
 def dim_current(spark, sf):
     return zone_table(spark, sf, (1, 2, 3, 4)).current()
@@ -298,10 +303,15 @@ def commit_history(spark, sf):
 
 
 def star(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Fact, zone dimension and vendor dimension. The dimensions are written tables, the fact stays a plan."""
-    zones, vendors = zone_table(spark, sf, (1,)), vendor_table(spark, sf)
-    fact = f.conform_fact(processed_trips(spark, sf), zones.current(), vendors.current())
-    return fact, zones.read(), vendors.read()
+    """Fact, zone dimension and vendor dimension.
+
+    Processed trips are written once, because both the vendor master and the fact read them; so are the dimensions, so
+    that their size is known when the joins are planned. The fact itself stays a plan.
+    """
+    trips = written(processed_trips(spark, sf))
+    zones = written(s.scd2_initial(golden_zones(spark, sf), s.ZONES, at(1)))
+    vendors = written(s.scd2_initial(known(m.golden_vendors(trips)), s.VENDORS, at(1)))
+    return f.conform_fact(trips, zones, vendors), zones, vendors
 
 
 @query
@@ -312,10 +322,8 @@ def fact_trips(spark, sf):
 @query
 def fact_trips_v0(spark, sf):
     valid = r.split(typed(spark, sf), r.TRIP_RULES_V0, (*TRIP_COLUMNS, "passenger_count"))[0]
-    trips = t.process_trips(valid, extra=("passenger_count",))
-    return f.conform_fact(
-        trips, zone_table(spark, sf, (1,)).current(), vendor_table(spark, sf).current(), f.FACT_COLUMNS_V0
-    )
+    _, zones, vendors = star(spark, sf)
+    return f.conform_fact(t.process_trips(valid, extra=("passenger_count",)), zones, vendors, f.FACT_COLUMNS_V0)
 
 
 @query

@@ -173,9 +173,9 @@ def process_audit(validated: DataFrame, run_ts: Column) -> DataFrame:
     return process_shares(merge_rows(validated.agg(F.count("*").alias("rows_in")), deduped), run_ts)
 
 
-def golden_audit(source: DataFrame, golden: DataFrame, labels: Mapping[str, str], run_ts: Column) -> DataFrame:
-    """``labels`` are constant text columns, such as the business key and how records are matched."""
-    return row_counts(rows_in=source, rows_out=golden).select(
+def golden_shares(counts: DataFrame, labels: Mapping[str, str], run_ts: Column) -> DataFrame:
+    """Audit row from ``rows_in`` and ``rows_out``. ``labels`` are constant text columns, such as the business key."""
+    return counts.select(
         run_ts.alias("run_ts"),
         "rows_in",
         "rows_out",
@@ -184,6 +184,13 @@ def golden_audit(source: DataFrame, golden: DataFrame, labels: Mapping[str, str]
     )
 
 
+def golden_audit(source: DataFrame, key: str, labels: Mapping[str, str], run_ts: Column) -> DataFrame:
+    """The audit of a master with one golden record per key, in one pass over its source."""
+    per_key = source.groupBy(key).agg(F.count("*").alias("n"))
+    counts = per_key.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows_in"), F.count("*").alias("rows_out"))
+    return golden_shares(counts, labels, run_ts)
+
+
 ZONE_AUDIT_LABELS = {
     "business_key": "LocationID",
     "matching_type": "deterministic",

@@ -82,7 +82,7 @@ def master_zones(spark: SparkSession, c: Config) -> DataFrame:
     zones = read_text_table(spark, c.path("raw", "zones"), ["locationid", "zone", "borough"])
     q.require_known(zones.withColumn("locationid", F.col("locationid").try_cast("int")), "locationid")
     golden = overwrite(golden_zones(zones), c.path("master", "zones"))
-    audit = q.golden_audit(zones, golden, q.ZONE_AUDIT_LABELS, c.run.at)
+    audit = q.golden_shares(q.row_counts(rows_in=zones, rows_out=golden), q.ZONE_AUDIT_LABELS, c.run.at)
     return append_audit(audit, c.path("audit", "master_zones"))
 
 
@@ -90,7 +90,7 @@ def master_vendors(spark: SparkSession, c: Config) -> DataFrame:
     trips = processed_trips(spark, c)
     golden = overwrite(golden_vendors(trips, c.vendor_names), c.path("master", "vendors"))
     q.require_known(golden, "vendorid")
-    audit = q.golden_audit(trips, golden, q.VENDOR_AUDIT_LABELS, c.run.at)
+    audit = q.golden_shares(q.row_counts(rows_in=trips, rows_out=golden), q.VENDOR_AUDIT_LABELS, c.run.at)
     return append_audit(audit, c.path("audit", "master_vendors"))
 
 

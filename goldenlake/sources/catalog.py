@@ -7,6 +7,7 @@ truncated and the data is written once.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Mapping
 
@@ -47,6 +48,8 @@ def create_external_table(spark: SparkSession, database: str, table: str, path:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.catalog.createTable(name, path=path, source="parquet")
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
+        spark.catalog.recoverPartitions(name)
     return name
 
 
@@ -77,7 +80,7 @@ def load_document(gated: DataFrame, run: Run, layout: Layout, database: str, sou
     """The nested audit document of a publish."""
     return gated.select(
         run.at.alias("run_ts_utc"),
-        F.struct(*[F.lit(path).alias(name) for name, path in sources.items()]).alias("sources"),
+        F.from_json(F.lit(json.dumps(dict(sources))), "map<string, string>").alias("sources"),
         F.struct(
             F.lit(database).alias("schema"), F.array(*[F.lit(t) for t in SERVING_TABLES]).alias("tables")
         ).alias("targets"),

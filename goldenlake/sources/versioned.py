@@ -88,9 +88,12 @@ class VersionedTable:
         spec = self.spec
         # An empty log on first use, so that a missing one is always an error to a reader.
         self.spark.createDataFrame([], COMMIT_SCHEMA).write.mode("ignore").json(f"{self.path}/commits")
-        before = self.last_commit()
-        if before is not None and not self.history().filter(F.col("run_id") == run.run_id).isEmpty():
+        log = self.history().agg(
+            F.max_by(F.struct("*"), "version").alias("last"), F.count_if(F.col("run_id") == run.run_id).alias("repeats")
+        ).first()
+        if log.repeats:
             raise ValueError(f"run {run.run_id} is already committed to {self.path}")
+        before = log.last
         in_golden = require_keys(golden, spec.key)
         if before is None:
             staged = None

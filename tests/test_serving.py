@@ -1,0 +1,159 @@
+import json
+from pathlib import Path
+
+import pytest
+from helpers import rows, trip, trips
+from pyspark.sql import functions as F
+from test_fact import T1, dims, processed
+
+from goldenlake.layout import Layout, Run
+from goldenlake.operators import quality as q
+from goldenlake.operators import serving as v
+from goldenlake.operators.fact import conform_fact
+from goldenlake.operators.trips import process_trips
+from goldenlake.schemas import FACT_TRIPS, VENDOR_DIM, ZONE_DIM
+from goldenlake.sources import catalog
+from goldenlake.sources.readers import read_text_table
+from goldenlake.sources.writers import append_audit, export_csv, overwrite, snapshot, write_fact
+
+
+@pytest.fixture
+def fact(spark):
+    return conform_fact(processed(spark), *dims(spark))
+
+
+def test_aggregates(spark, fact):
+    per_vendor = rows(v.agg_daily_vendor_perf(fact).drop("trip_date"))
+    assert per_vendor == [(1, 3, 75.0, 5.0), (5, 2, 50.0, 5.0)]
+    assert [r.revenue for r in v.daily_revenue(fact).collect()] == [125.0]
+    lost = v.agg_daily_zone_revenue(fact).filter("pickup_zone_key IS NULL").first()
+    assert (lost.trip_count, lost.total_revenue, lost.avg_fare) == (2, 50.0, 20.0)
+
+
+def test_average_of_unknown_fares_is_unknown(spark, fact):
+    unknown = fact.withColumn("fare_amount", F.lit(None).cast("double"))
+    assert {r.avg_fare for r in v.agg_daily_zone_revenue(unknown).collect()} == {None}
+
+
+def test_sums_do_not_depend_on_the_partitioning(spark):
+    df = spark.range(10_000).select(
+        F.lit("2024-01-01").cast("date").alias("trip_date"), F.round(F.rand(3) * 100, 4).alias("total_amount")
+    )
+    df = spark.createDataFrame(df.collect(), df.schema)
+    assert len({v.daily_revenue(df.repartition(n)).first().revenue for n in (1, 3, 7)}) == 1
+
+
+def test_metric_points(spark, fact):
+    gated = q.load_gate(q.load_metrics(fact, *dims(spark)), q.load_checks(0.5))
+    points = {r.name: (r.value, r.unit) for r in v.metric_points(gated).collect()}
+    assert points == {
+        "FactRowCount": (5.0, "Count"),
+        "ZoneDimRowCount": (4.0, "Count"),
+        "VendorDimRowCount": (1.0, "Count"),
+        "CompletenessPct": (100.0, "Percent"),
+        "OrphanRatePct": (40.0, "Percent"),
+        "PipelineDQStatus": (1.0, "Count"),
+    }
+
+
+def test_serving_columns_go_by_name(spark):
+    zones, vendors = dims(spark)
+    shuffled = zones.select(*reversed(zones.columns))
+    out = v.serving_columns(shuffled, ZONE_DIM)
+    assert out.columns == list(ZONE_DIM) and rows(out) == rows(v.serving_columns(zones, ZONE_DIM))
+    assert v.serving_columns(vendors, VENDOR_DIM).columns == list(VENDOR_DIM)
+
+
+def frames(spark, fact):
+    zones, vendors = dims(spark)
+    return {"zone_dim": zones, "vendor_dim": vendors, "fact_trips": fact}
+
+
+def documents(folder):
+    return [json.loads(line) for f in Path(folder).glob("*.json") for line in f.read_text().splitlines()]
+
+
+def test_publish_swaps_only_after_the_check(spark, fact, tmp_path):
+    layout, db = Layout(str(tmp_path)), "publish_test"
+    sound = fact.filter("NOT zone_orphan_flag")
+    catalog.publish(spark, layout, Run("one", T1), frames(spark, sound), db, {"fact_trips_path": "there"})
+    table = spark.table(f"{db}.fact_trips")
+    assert table.columns == list(FACT_TRIPS) and table.count() == 3
+    assert spark.table(f"{db}.zone_dim").columns == list(ZONE_DIM)
+    assert spark.table(f"{db}.agg_daily_vendor_perf").count() == 2
+    assert rows(spark.table(f"{db}.agg_daily_zone_revenue")) == rows(v.agg_daily_zone_revenue(sound))
+
+    with pytest.raises(q.GateFailed, match="zone orphan rate 0.4000"):
+        catalog.publish(spark, layout, Run("two", T1), frames(spark, fact), db)
+    assert spark.table(f"{db}.fact_trips").count() == 3  # still the published one
+
+    docs = {d["status"]: d for d in documents(tmp_path / "audit" / "load")}
+    assert docs["SUCCESS"]["counts"] == {"zone_dim": 4, "vendor_dim": 1, "fact_trips": 3}
+    assert docs["SUCCESS"]["sources"] == {"fact_trips_path": "there"}
+    assert docs["FAILED"]["errors"] == docs["FAILED"]["dq"]["failures"] == ["zone orphan rate 0.4000"]
+    assert docs["FAILED"]["targets"] == {"schema": db, "tables": ["zone_dim", "vendor_dim", "fact_trips"]}
+    points = {(p["name"], p["value"]) for p in documents(tmp_path / "audit" / "metric_points")}
+    assert {("PipelineDQStatus", 1.0), ("PipelineDQStatus", 0.0)} <= points
+
+    catalog.publish(spark, layout, Run("three", T1), frames(spark, fact), db, max_orphan_rate=0.5, partition="trip_month")
+    spark.catalog.refreshTable(f"{db}.fact_trips")
+    assert spark.table(f"{db}.fact_trips").count() == 5
+
+
+def test_register_takes_over_schemas_and_marks_lost_folders(spark, tmp_path):
+    db, path = "register_test", tmp_path / "curated"
+    spark.range(3).write.parquet(str(path))
+    assert catalog.register_curated(spark, db, {"things": str(path)}) == [f"{db}.curated_things"]
+    spark.range(3).withColumn("more", F.lit(1)).write.mode("overwrite").parquet(str(path))
+    catalog.register_curated(spark, db, {"things": str(path)})
+    assert spark.table(f"{db}.curated_things").columns == ["id", "more"]
+    path.rename(tmp_path / "gone")
+    assert catalog.register_curated(spark, db, {"things": str(path)}) == []
+    properties = spark.sql(f"SHOW TBLPROPERTIES {db}.curated_things").collect()
+    assert ("deprecated", "true") in {tuple(p) for p in properties}
+
+
+def test_revenue_view(spark, fact, tmp_path):
+    write_fact(fact, str(tmp_path / "fact"))
+    (table,) = catalog.register_curated(spark, "view_test", {"fact_trips": str(tmp_path / "fact")})
+    view = catalog.create_revenue_view(spark, "view_test", table)
+    assert rows(spark.table(view)) == rows(v.daily_revenue(fact))
+
+
+def test_fact_partitions(spark, tmp_path, plan_of):
+    zones, vendors = dims(spark)
+
+    def fact_of(*data):
+        return conform_fact(process_trips(trips(spark, *data)), zones, vendors)
+
+    day2 = {"pickup": "2024-01-02 10:00:00", "dropoff": "2024-01-02 11:00:00"}
+    path = str(tmp_path / "fact")
+    written = write_fact(fact_of(trip(), trip(**day2)), path)
+    assert {p.name for p in Path(path).glob("trip_date=*")} == {"trip_date=2024-01-01", "trip_date=2024-01-02"}
+    assert "PartitionFilters: [isnotnull(trip_date" in plan_of(written.filter("trip_date = DATE '2024-01-02'"))
+    write_fact(fact_of(trip(total=99.0, **day2)), path, changed_only=True)
+    assert rows(spark.read.parquet(path).select("total_amount")) == [(25.0,), (99.0,)]
+    write_fact(fact_of(trip(**day2)), path)
+    assert spark.read.parquet(path).count() == 1
+
+
+def test_hot_date_is_written_by_several_tasks(spark, fact, tmp_path, set_conf):
+    set_conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="20KB")
+    hot = fact.limit(1).crossJoin(spark.range(20_000)).withColumn("trip_distance", F.rand(5)).drop("id").repartition(4)
+    write_fact(hot, str(tmp_path / "hot"))
+    assert len(list((tmp_path / "hot").glob("trip_date=*/*.parquet"))) > 1
+
+
+def test_sinks(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a"), (2, None)], "k int, v string")
+    snapshot(df, str(tmp_path / "backup"), Run("one", T1))
+    snapshot(df, str(tmp_path / "backup"), Run("two", T1))
+    snapshot(df, str(tmp_path / "backup"), Run("two", T1))
+    assert spark.read.parquet(str(tmp_path / "backup")).groupBy("run_id").count().filter("count <> 2").isEmpty()
+    assert rows(overwrite(df, str(tmp_path / "o"))) == rows(df)
+    for _ in range(2):
+        append_audit(df.agg(F.count("*").alias("n")), str(tmp_path / "audit"))
+    assert documents(tmp_path / "audit") == [{"n": 2}, {"n": 2}]
+    export_csv(df.repartition(3), str(tmp_path / "csv"))
+    assert len(list((tmp_path / "csv").glob("*.csv"))) == 1
+    assert rows(read_text_table(spark, str(tmp_path / "csv"), ["k", "v"])) == [("1", "a"), ("2", None)]
