@@ -139,7 +139,9 @@ def test_fact_partitions(spark, tmp_path, plan_of):
 
 def test_hot_date_is_written_by_several_tasks(spark, fact, tmp_path, set_conf):
     set_conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="20KB")
-    hot = fact.limit(1).crossJoin(spark.range(20_000)).withColumn("trip_distance", F.rand(5)).drop("id").repartition(4)
+    one = fact.filter("vendorid = 1 AND pickup_location_id = 10")
+    copies = one.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(20_000))))
+    hot = copies.withColumn("trip_distance", F.rand(5)).drop("n").repartition(4)
     write_fact(hot, str(tmp_path / "hot"))
     assert len(list((tmp_path / "hot").glob("trip_date=*/*.parquet"))) > 1
 
