@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldenlake.layout import Run
+from goldenlake.sources.readers import read_events, read_parquet
 
 # Clock readings of the dimension batches.
 BATCHES = {
@@ -18,14 +19,14 @@ AUDIT_TS = "2024-05-01 00:00:00"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_parquet(spark, f"{sf_dir}/{name}.parquet")
 
 
 def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One trip per line item, with keys in types other than the canonical ones and two extra columns."""
     pickup = "timestampadd(HOUR, l_linenumber, o_orderdate)"
     return (
-        table(spark, sf_dir, "lineitem")
+        read_events(spark, f"{sf_dir}/lineitem.parquet")
         .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .selectExpr(

@@ -119,7 +119,7 @@ def scd2_stage(changes: DataFrame, spec: EntitySpec, at: Column) -> DataFrame:
 
 def scd2_expire(dim: DataFrame, keys: DataFrame, spec: EntitySpec, at: Column) -> DataFrame:
     """Close the current row of every key in ``keys``. Only current rows enter the join, history passes by."""
-    hit = keys.select(F.col(spec.key), F.lit(True).alias("_hit")).distinct()
+    hit = keys.select(spec.key).distinct().withColumn("_hit", F.lit(True))
     current = current_rows(dim).join(hit, spec.key, "left")
     rest = [c for c in spec.columns if c not in ("is_current", "end_date")]
     touched = current.select(

@@ -22,7 +22,7 @@ from goldenlake.operators.scd2 import VENDORS, ZONES
 from goldenlake.operators.trips import dedupe_trips, measurable, payable_trips, with_trip_metrics
 from goldenlake.schemas import PROCESSED_COLUMNS, TRIP_COLUMNS, TRIP_TYPES
 from goldenlake.sources import catalog
-from goldenlake.sources.readers import read_parquet, read_text_table
+from goldenlake.sources.readers import read_events, read_parquet, read_text_table
 from goldenlake.sources.versioned import VersionedTable
 from goldenlake.sources.writers import append_audit, overwrite, snapshot, write_fact
 
@@ -47,7 +47,8 @@ def validate(spark: SparkSession, c: Config) -> DataFrame:
     """Back up what arrived (before any cast), split it, audit, and stop on a bad share of valid rows."""
     raw = read_parquet(spark, c.path("raw", "trips"))
     snapshot(raw, c.path("backup", "raw_snapshot"), c.run)
-    valid, rejected = split(normalize_types(raw, TRIP_TYPES), c.rules, TRIP_COLUMNS)
+    typed = normalize_types(read_events(spark, c.path("raw", "trips")), TRIP_TYPES)
+    valid, rejected = split(typed, c.rules, TRIP_COLUMNS)
     counts = q.row_counts(
         rows_in=raw,
         rows_valid=overwrite(valid, c.path("validated", "trips")),
@@ -62,7 +63,7 @@ def process(spark: SparkSession, c: Config) -> DataFrame:
     """Write processed trips. Survivors are counted as they pass in the writing stage, before the too short ones drop
     out; Spark counts a task of a writing stage once, also when it had to be repeated."""
     validated = read_parquet(spark, c.path("validated", "trips"))
-    survivors = with_trip_metrics(dedupe_trips(payable_trips(validated)))
+    survivors = with_trip_metrics(dedupe_trips(payable_trips(read_events(spark, c.path("validated", "trips")))))
     passed = Observation()
     written = overwrite(
         measurable(survivors.observe(passed, F.count("*").alias("rows"))).select(*PROCESSED_COLUMNS),
