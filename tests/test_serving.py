@@ -138,11 +138,11 @@ def test_fact_partitions(spark, tmp_path, plan_of):
 
 
 def test_hot_date_is_written_by_several_tasks(spark, fact, tmp_path, set_conf):
-    set_conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="20KB")
+    set_conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="20KB", spark__sql__files__maxPartitionBytes="1MB")
     one = fact.filter("vendorid = 1 AND pickup_location_id = 10")
     copies = one.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(20_000))))
-    hot = copies.withColumn("trip_distance", F.rand(5)).drop("n").repartition(4)
-    write_fact(hot, str(tmp_path / "hot"))
+    hot = overwrite(copies.withColumn("trip_distance", F.rand(5)).drop("n").repartition(4), str(tmp_path / "source"))
+    assert write_fact(hot, str(tmp_path / "hot")).count() == 20_000
     assert len(list((tmp_path / "hot").glob("trip_date=*/*.parquet"))) > 1
 
 
