@@ -191,6 +191,7 @@ def golden_audit(source: DataFrame, key: str, labels: Mapping[str, str], run_ts:
     return golden_shares(counts, labels, run_ts)
 
 
+# The constant columns of the two master audits.
 ZONE_AUDIT_LABELS = {
     "business_key": "LocationID",
     "matching_type": "deterministic",
