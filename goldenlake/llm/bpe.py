@@ -24,9 +24,8 @@ PIECE = 1 << 16
 #: A letter or digit, then a blank or line feed: every match ends before the white space, whatever follows.
 _SAFE = regex.compile(r"(?<=[\p{L}\p{N}])[ \n]")
 #: White space of the pattern; a run that is too long for the library's matcher is coded as the one match it is.
-_LONG_BLANK = regex.compile(
-    r"[\t-\r \x85\xa0  -     　]{%d,}" % (PIECE // 4)
-)
+_BLANKS = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+_LONG_BLANK = regex.compile("[%s]{%d,}" % ("".join(map(chr, _BLANKS)), PIECE // 4))
 _ENCODINGS: dict[str, tiktoken.Encoding] = {}
 
 

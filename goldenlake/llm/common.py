@@ -93,37 +93,48 @@ _LOWER[65:91] += 32
 _VALUES = {}
 
 
-def _byte_values(lower: bool) -> np.ndarray:
+def byte_values(lower: bool) -> np.ndarray:
     if lower not in _VALUES:
         codes = _LOWER if lower else np.arange(256, dtype=np.uint8)
         _VALUES[lower] = mix(codes.astype(np.uint64) + np.uint64(1))
     return _VALUES[lower]
 
 
-def word_hashes(column: pa.Array, classes: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words of a text column, in order, and the offsets of its rows among them."""
-    data, offsets = text_bytes(column)
-    if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-    kind = classes[data]
-    start = kind > 0
-    start[1:] &= kind[1:] != kind[:-1]
-    heads = offsets[:-1][offsets[:-1] < offsets[1:]]
-    start[heads] = kind[heads] > 0
+def run_hashes(codes: np.ndarray, start: np.ndarray, inside: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """64-bit hashes of runs of bytes: each begins at a set ``start`` and leaves out what isn't ``inside``."""
     starts = np.flatnonzero(start)
     if not len(starts):
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-    at = np.arange(len(data), dtype=np.int64)
+        return np.zeros(0, np.uint64)
+    at = np.arange(len(codes), dtype=np.int64)
     at -= np.maximum.accumulate(np.where(start, at, 0))
-    at[kind == 0] = 0
+    at[~inside] = 0
     powers = np.full(int(at.max()) + 1, _MULTIPLIER, np.uint64)
     powers[0] = 1
     powers = np.multiply.accumulate(powers)
-    values = _byte_values(lower)[data]
-    values *= powers[at]
-    values[kind == 0] = 0
-    hashes = mix(np.add.reduceat(values, starts))
-    return hashes, np.searchsorted(starts, offsets).astype(np.int64)
+    terms = values[codes]
+    terms *= powers[at]
+    terms[~inside] = 0
+    return mix(np.add.reduceat(terms, starts))
+
+
+def word_starts(kind: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where runs of equal classes over 0 begin; rows are apart."""
+    start = kind > 0
+    start[1:] &= kind[1:] != kind[:-1]
+    heads = offsets[:-1][offsets[:-1] < offsets[1:]]
+    start[heads] = kind[heads] > 0
+    return start
+
+
+def word_hashes(column: pa.Array, classes: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of a text column, in order, and the offsets of its rows among them."""
+    data, offsets = text_bytes(column)
+    if not len(data):
+        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
+    kind = classes[data]
+    start = word_starts(kind, offsets)
+    hashes = run_hashes(data, start, kind > 0, byte_values(lower))
+    return hashes, np.searchsorted(np.flatnonzero(start), offsets).astype(np.int64)
 
 
 def shingles(words: np.ndarray, offsets: np.ndarray, width: int = 5) -> tuple[np.ndarray, np.ndarray]:

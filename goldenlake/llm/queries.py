@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldenlake.llm import bpe, langid, quality
+from goldenlake.llm import bpe, langid, packing, quality
 from goldenlake.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,20 @@ def op3_language_id(spark, sf):
     return langid.identify(table(spark, sf, "documents"))
 
 
+@query
+def op6_cost_packing(spark, sf):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack_documents(table(spark, sf, "documents"), path).select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("tokens").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
 @query
 def op8_quality_resampling(spark, sf):
     return quality.resample(table(spark, sf, "documents"), table(spark, sf, "labels"))
