@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldenlake.llm import bpe, langid, packing, quality
+from goldenlake.llm import bpe, langid, licenses, packing, quality
 from goldenlake.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,11 @@ def op1_byte_bpe(spark, sf):
     )
 
 
+@query
+def op2_license_scan(spark, sf):
+    return licenses.scan(table(spark, sf, "documents"))
+
+
 @query
 def op3_language_id(spark, sf):
     return langid.identify(table(spark, sf, "documents"))
