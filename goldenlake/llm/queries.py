@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldenlake.llm import bpe, langid, licenses, packing, quality
+from goldenlake.llm import bpe, jaccard, langid, licenses, packing, quality
 from goldenlake.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +61,8 @@ def op6_cost_packing(spark, sf):
 @query
 def op8_quality_resampling(spark, sf):
     return quality.resample(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query
+def op9_ngram_jaccard(spark, sf):
+    return jaccard.near_duplicates(table(spark, sf, "documents"))
