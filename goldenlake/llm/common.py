@@ -13,8 +13,9 @@ from pyspark.sql.types import StructType
 
 from goldenlake.session import shared_folder
 
-#: Settings of the Python stages: a batch of long documents must fit a worker's memory.
-ARROW_CONF = {
+#: A batch of long documents must fit a Python worker's memory; texts are pruned by Bloom filters at every size of table.
+SESSION_CONF = {
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
 }
@@ -22,8 +23,8 @@ _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Bound the size of Arrow batches and let Python workers of a session without packaging find this library."""
-    for key, value in ARROW_CONF.items():
+    """Apply ``SESSION_CONF`` and let Python workers of a session without packaging find this library."""
+    for key, value in SESSION_CONF.items():
         spark.conf.set(key, value)
     spark.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
     return spark

@@ -43,6 +43,10 @@ from goldenlake.llm.common import (
 )
 
 
+#: Sizes of neighbouring bands, and what a signature that meets others by chance costs, in rows of signatures.
+RATIO, CHANCE = 1.5, 12
+
+
 @dataclass(frozen=True)
 class Settings:
     percent: int = 80  # Jaccard similarity of linked sets
@@ -64,7 +68,7 @@ class Band:
 def low_of(band: int) -> int:
     low = 1
     for _ in range(band):
-        low = max(low + 1, math.ceil(1.5 * low))
+        low = max(low + 1, math.ceil(RATIO * low))
     return low
 
 
@@ -74,7 +78,7 @@ def band_of(number: int, settings: Settings) -> Band:
     p, low, high = settings.percent, low_of(number), low_of(number + 1) - 1
     differ = (100 - p) * 2 * high // (100 + p)
     least = -(-p * low // 100)
-    typical = (least + high) / 2
+    sizes = np.geomspace(least, high, 9)
     best = None
     for deletions in (False, True):
         lost = differ // 2 if deletions else differ
@@ -82,13 +86,16 @@ def band_of(number: int, settings: Settings) -> Band:
             continue  # the smallest sets could not fill enough segments
         for sure in range(1, 8 + lost):
             m = lost + sure
-            useless = m * math.exp(-least / m) * (1 + deletions * least / m)
-            rate = typical / m
-            empty, single = math.exp(-rate), rate * math.exp(-rate)
-            again = 0.5 * math.erfc((sure - 0.5 - useless) / math.sqrt(2 * useless + 0.02))
-            rows = m + typical * deletions
+            rate = sizes / m
+            empty, single = np.exp(-rate), rate * np.exp(-rate)
+            useless = m * (empty + deletions * single)
+            spread = np.sqrt(2 * useless + 0.02)
+            again = np.array([0.5 * math.erfc(x) for x in (sure - 0.5 - useless) / spread])
+            if again.max() > 0.8:
+                continue  # sets must come to an end after a few seeds
+            rows = m + sizes * deletions
             chance = m * (single + rate**2 / 2 * empty * deletions)  # signatures of one shingle meet by chance
-            spent = (rows + 16 * chance) / max(1 - again, 0.01)  # one that meets costs about as much as 16 rows
+            spent = float(((rows + CHANCE * chance) / (1 - again)).mean())
             if best is None or spent < best[0]:
                 best = (spent, m + settings.slack, sure + settings.slack, deletions)
     return Band(number, low, high, *best[1:])
@@ -187,6 +194,7 @@ def signatures(docs: DataFrame, settings: Settings) -> DataFrame:
 def verify(pairs: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
     """The pairs (a, b) of documents whose shingle sets are similar enough, of the given pairs."""
     texts = docs.select("doc_id", "text")
+    pairs = pairs.filter("a < b")  # a filter lets Spark prune the texts by a Bloom filter of the pairs
     whole = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
     whole = whole.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
 
@@ -205,82 +213,80 @@ def verify(pairs: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
     return whole.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long").distinct()
 
 
-def _near_sizes(settings: Settings, a: str, b: str):
-    return 100 * F.least(a, b) >= settings.percent * F.greatest(a, b)
+def _of_sets(pairs: DataFrame, owners: DataFrame, settings: Settings) -> DataFrame:
+    """Pairs of documents as pairs (a, b) of the smallest documents with the same sets, if the sizes allow a link."""
+    one, two = (owners.select(*(F.col(c).alias(f"{c}_{side}") for c in ("doc_id", "rep", "n"))) for side in "ab")
+    return (
+        pairs.join(one, F.col("a") == F.col("doc_id_a"))
+        .join(two, F.col("b") == F.col("doc_id_b"))
+        .filter(F.col("rep_a") != F.col("rep_b"))
+        .filter(100 * F.least("n_a", "n_b") >= settings.percent * F.greatest("n_a", "n_b"))
+        .select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b"))
+        .distinct()
+    )
 
 
-def links(docs: DataFrame, info: DataFrame, settings: Settings) -> DataFrame:
-    """Pairs (a, b) of similar documents that connect all that similar pairs connect; equal sets have one document."""
-    sets = info.filter("key IS NOT NULL").select("doc_id", "key", "n_shingles")
-    first = sets.groupBy("key").agg(F.min("doc_id").alias("rep"))
-    owners = sets.join(first, "key").select("doc_id", "rep", F.col("n_shingles").alias("n")).distinct()
+def links(docs: DataFrame, info: DataFrame, copies: DataFrame, settings: Settings) -> DataFrame:
+    """Pairs (a, b) of similar documents that, with ``copies``, connect all that similar pairs connect."""
+    sets = info.filter("key IS NOT NULL").select("doc_id", "key", F.col("n_shingles").alias("n"))
+    owners = sets.withColumn("rep", F.min("doc_id").over(Window.partitionBy("key"))).select("doc_id", "rep", "n")
+    owners = saved(owners.distinct())
 
+    # One shuffle: what shares a signature is told from what doesn't, and small groups are laid into one row.
     by_sig = Window.partitionBy("sig")
-    shared = (
+    sharing = F.count("*").over(by_sig)
+    shared = saved(
         signatures(docs, settings)
-        .withColumns({"least": F.min("doc_id").over(by_sig), "most": F.max("doc_id").over(by_sig)})
+        .withColumns({"least": F.min("doc_id").over(by_sig), "most": F.max("doc_id").over(by_sig), "sharing": sharing})
         .filter("least < most")
-        .select("sig", "doc_id", "tag")
-        .join(owners, "doc_id")
-        .groupBy("sig", "rep", "n")
-        .agg(F.min("tag").alias("tag"))
-        .select("sig", "rep", "n", F.expr("tag >> 8").alias("scheme"), F.expr("(tag & 255) - 128").alias("spare"))
+        .withColumn("alone", F.when(F.col("sharing") > settings.hot, F.col("doc_id")))
+        .groupBy("sig", "alone")
+        .agg(F.sort_array(F.collect_list(F.struct("doc_id", "tag"))).alias("docs"))
     )
-    shared = saved(shared.withColumn("sharing", F.count("*").over(by_sig)).filter("sharing > 1"))
-    hot = F.col("sharing") > settings.hot
-    by_set = Window.partitionBy("rep", "scheme", "n")
-    shared = saved(shared.withColumn("hot", F.count(F.when(hot, 1)).over(by_set)))
+    crowds = shared.filter("alone IS NOT NULL").select("sig", F.explode("docs").alias("doc")).select("sig", "doc.*")
+    parts = {"scheme": F.expr("tag >> 8"), "spare": F.expr("(tag & 255) - 128")}
+    crowds = crowds.withColumns(parts).drop("tag")
+    hot = saved(crowds.groupBy("doc_id", "scheme").agg(F.count("*").alias("hot")))
 
-    cold = shared.filter(~hot).groupBy("sig", "scheme").agg(
-        F.sort_array(F.collect_list(F.struct("rep", "n", (F.col("spare") - F.col("hot")).alias("spare")))).alias("sets")
-    )
     pairs = F.expr(
-        "flatten(transform(sets, (x, i) -> transform(slice(sets, i + 2, size(sets)), y -> struct(x AS x, y AS y))))"
+        "flatten(transform(docs, (x, i) -> transform(slice(docs, i + 2, size(docs)), y -> struct(x AS x, y AS y))))"
     )
     found = (
-        cold.select("scheme", F.explode(pairs).alias("pair"))
-        .select(
-            "scheme",
-            F.col("pair.x.rep").alias("a"),
-            F.col("pair.y.rep").alias("b"),
-            F.greatest("pair.x.spare", "pair.y.spare", F.lit(0)).alias("spare"),
-            F.col("pair.x.n").alias("n_a"),
-            F.col("pair.y.n").alias("n_b"),
+        shared.filter("alone IS NULL")
+        .select(F.explode(pairs).alias("pair"))
+        .filter("pair.x.doc_id < pair.y.doc_id")
+        .groupBy(F.col("pair.x.doc_id").alias("a"), F.col("pair.y.doc_id").alias("b"), F.expr("pair.x.tag >> 8").alias("scheme"))
+        .agg(
+            F.count("*").alias("shared"),
+            F.first(F.expr("(pair.x.tag & 255) - 128")).alias("spare_a"),
+            F.first(F.expr("(pair.y.tag & 255) - 128")).alias("spare_b"),
         )
-        .filter((F.col("a") != F.col("b")) & _near_sizes(settings, "n_a", "n_b"))
-        .groupBy("scheme", "a", "b")
-        .agg(F.count("*").alias("shared"), F.max("spare").alias("spare"))
-        .filter("shared > spare")
-        .select("a", "b")
-    )
-    crowd = saved(shared.filter(hot & (F.col("hot") > F.col("spare"))).select("sig", "rep", "n"))
-    star = (
-        crowd.withColumn("center", F.min(F.struct("rep", "n")).over(by_sig))
-        .filter(_near_sizes(settings, "n", "center.n"))
-        .select(F.col("center.rep").alias("a"), F.col("rep").alias("b"))
-        .filter("a < b")
     )
-    tested = saved(found.unionByName(star).distinct())
+    for side in "ab":  # hot signatures may be among those that a pair has to share
+        found = found.join(
+            hot.select(F.col("doc_id").alias(side), "scheme", F.col("hot").alias(f"hot_{side}")), [side, "scheme"], "left"
+        ).withColumn(f"spare_{side}", F.col(f"spare_{side}") - F.coalesce(f"hot_{side}", F.lit(0)))
+    found = found.filter(F.col("shared") > F.greatest("spare_a", "spare_b", F.lit(0))).select("a", "b")
+
+    crowds = crowds.join(hot, ["doc_id", "scheme"]).filter("hot > spare").select("sig", "doc_id")
+    star = crowds.withColumn("a", F.min("doc_id").over(by_sig)).select("a", F.col("doc_id").alias("b")).filter("a < b")
+    tested = saved(_of_sets(found.unionByName(star).distinct(), owners, settings))
     linked = saved(verify(tested, docs, settings))
-    if crowd.isEmpty():
+    if crowds.isEmpty():
         return linked
-    labels = components(linked)
-    rest = crowd.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "sig", "rep", "n", F.coalesce("component", "rep").alias("component")
-    )
+    labels = components(linked.unionByName(copies)).withColumnRenamed("node", "doc_id")
+    rest = crowds.join(labels, "doc_id", "left").join(owners, "doc_id")
+    rest = rest.select("sig", F.col("rep").alias("doc_id"), F.coalesce("component", "rep").alias("component")).distinct()
     apart = rest.withColumns(
         {"least": F.min("component").over(by_sig), "most": F.max("component").over(by_sig)}
     ).filter("least < most")
-    left, right = (apart.select("sig", *(F.col(c).alias(f"{c}_{side}") for c in ("rep", "n", "component"))) for side in "ab")
-    more = (
-        left.join(right, "sig")
-        .filter("component_a < component_b")
-        .filter(_near_sizes(settings, "n_a", "n_b"))
-        .select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b"))
-        .distinct()
-        .join(tested, ["a", "b"], "left_anti")
+    apart = saved(apart.drop("least", "most"))
+    left, right = (
+        apart.select("sig", F.col("doc_id").alias(side), F.col("component").alias(f"component_{side}")) for side in "ab"
     )
-    return linked.unionByName(verify(saved(more), docs, settings))
+    more = left.join(right, "sig").filter("component_a < component_b").select("a", "b").distinct()
+    more = saved(_of_sets(more, owners, settings).join(tested, ["a", "b"], "left_anti"))
+    return linked.unionByName(verify(more, docs, settings))
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -289,8 +295,9 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     info = saved(describe(docs, settings))
     sets = info.filter("key IS NOT NULL")
     first = sets.groupBy("key").agg(F.min("doc_id").alias("a"))
-    copies = sets.join(first, "key").select("a", F.col("doc_id").alias("b")).filter("a < b")
-    labels = components(links(docs, info, settings).unionByName(copies)).withColumnRenamed("node", "doc_id")
+    copies = saved(sets.join(first, "key").select("a", F.col("doc_id").alias("b")).filter("a < b"))
+    linked = links(docs, info, copies, settings).unionByName(copies)
+    labels = components(linked).withColumnRenamed("node", "doc_id")
     return info.join(labels, "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
     )

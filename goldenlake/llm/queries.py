@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldenlake.llm import bpe, jaccard, langid, licenses, packing, quality
+from goldenlake.llm import bpe, jaccard, langid, licenses, packing, quality, windows
 from goldenlake.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,6 +58,11 @@ def op6_cost_packing(spark, sf):
     )
 
 
+@query
+def op7_compact_windows(spark, sf):
+    return windows.passages(table(spark, sf, "documents"))
+
+
 @query
 def op8_quality_resampling(spark, sf):
     return quality.resample(table(spark, sf, "documents"), table(spark, sf, "labels"))
