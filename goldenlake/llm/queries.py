@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldenlake.llm import bpe, jaccard, langid, licenses, packing, quality, windows
+from goldenlake.llm import bpe, graph, jaccard, langid, licenses, packing, quality, token_counts, topk, windows
 from goldenlake.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,6 +44,17 @@ def op3_language_id(spark, sf):
     return langid.identify(table(spark, sf, "documents"))
 
 
+@query
+def op4_exact_topk(spark, sf):
+    return topk.search(table(spark, sf, "embeddings"))
+
+
+@query
+def op5_edited_token_counts(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return token_counts.count_edits(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
 @query
 def op6_cost_packing(spark, sf):
     path = public_tokenizers.path("word_bpe_49k.json")
@@ -71,3 +82,8 @@ def op8_quality_resampling(spark, sf):
 @query
 def op9_ngram_jaccard(spark, sf):
     return jaccard.near_duplicates(table(spark, sf, "documents"))
+
+
+@query
+def op10_pruned_graph(spark, sf):
+    return graph.near_duplicates(table(spark, sf, "embeddings"))
