@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from goldenlake.llm.common import components, saved
+from goldenlake.llm.common import components, saved, spread
 from goldenlake.llm.topk import usable
 
 
@@ -137,7 +137,6 @@ def shard_links(shard: pd.DataFrame, settings: Settings) -> pd.DataFrame:
 
 def near_duplicates(vectors: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every vec_id."""
-    spark = vectors.sparkSession
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x))
     unit = usable(vectors).withColumn("norm", norm).filter((F.col("norm") > 0) & (F.col("norm") < float("inf")))
     unit = saved(unit.select("vec_id", F.transform("vector", lambda x: x / F.col("norm")).alias("vector"), F.size("vector").alias("dims")))
@@ -173,6 +172,8 @@ def near_duplicates(vectors: DataFrame, settings: Settings = Settings()) -> Data
             .select("cluster", "other", "vec_id", "vector", "block", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"))
         )
         # A shard of two blocks finds the pairs between them; a block by itself those within.
+        # Dealt by all three, as the join left a cluster's shards in one task.
+        dealt = dealt.repartition(spread(dealt), "cluster", "low", "high")
         found = dealt.groupBy("cluster", "low", "high").applyInPandas(lambda x: shard_links(x, settings), "vec_id long, n_links long, root long")
         found = saved(found)
         totals = found.select("vec_id", "n_links") if totals is None else totals.unionByName(found.select("vec_id", "n_links"))
