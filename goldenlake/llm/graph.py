@@ -3,7 +3,7 @@
 Centroids are fitted on a bounded sample; every vector goes to its two nearest clusters, so that shards overlap. A
 cluster over ``cap`` vectors is dealt into blocks, with a shard for each pair of blocks. In a shard, each vector's
 nearest ones are pruned (one that is nearer to a kept neighbour than to the vector goes) and the lists are united with
-their reverses. Every vector is then searched from the medoid, best first; whatever is within range is expanded too,
+their reverses and a random ring. Every vector is then searched from medoids, best first; whatever is within range is expanded too,
 however much that is. What is found is verified by the cosine in doubles. Only sums of links and, for components, one
 edge for each vector leave a shard, never pairs: a pair that two shards hold is counted in one of them.
 
@@ -71,23 +71,37 @@ def pruned_graph(cosines: np.ndarray, settings: Settings) -> np.ndarray:
         kept += take
         between = np.sqrt(np.maximum(2 - 2 * cosines[nearest[:, i, None], nearest], 0))
         gone |= take[:, None] & (settings.alpha * between <= far)
+    # A random ring through all vectors keeps the graph in one piece.
+    ring = np.random.default_rng(n).permutation(n)
+    graph[ring, np.roll(ring, 1)] = True
     return graph | graph.T
 
 
+def medoids(cosines: np.ndarray) -> np.ndarray:
+    """The medoid and, one after the other, the vectors farthest from those chosen before."""
+    chosen = [int(cosines.sum(axis=1).argmax())]
+    near = cosines[chosen[0]].copy()
+    for _ in range(min(len(cosines) - 1, int(2 * len(cosines) ** 0.5))):
+        chosen.append(int(near.argmin()))
+        np.maximum(near, cosines[chosen[-1]], out=near)
+    return np.unique(chosen)
+
+
 def range_search(cosines: np.ndarray, graph: np.ndarray, settings: Settings) -> np.ndarray:
-    """For each vector, which others its search from the medoid found within range."""
+    """For each vector, which others its search from the medoids found within range."""
     n = len(cosines)
     lists = [np.flatnonzero(row) for row in graph]
     width = max(map(len, lists), default=0)
     if not width:
         return np.zeros((n, n), bool)
     neighbours = np.array([np.concatenate([x, np.full(width - len(x), i)]) for i, x in enumerate(lists)], np.int64)
-    medoid = int(cosines.sum(axis=1).argmax())
+    entries = medoids(cosines)
     seen = np.zeros((n, n), bool)
     open_ = np.full((n, n), -2.0)
-    seen[:, medoid], open_[:, medoid] = True, cosines[:, medoid]
-    pool = np.full((n, settings.beam), -2.0)
-    pool[:, -1] = cosines[:, medoid]
+    seen[:, entries], open_[:, entries] = True, cosines[:, entries]
+    pool = np.full((n, settings.beam + len(entries)), -2.0)
+    pool[:, : len(entries)] = cosines[:, entries]
+    pool = np.partition(pool, len(entries), axis=1)[:, len(entries) :]
     active = np.arange(n)
     while len(active):
         best = open_[active].argmax(axis=1)

@@ -62,7 +62,7 @@ def tile(queries: np.ndarray, ids: np.ndarray) -> np.ndarray:
     reach = np.abs(queries).max(initial=0) * np.abs(ids).max(initial=0) * max(queries.shape[1], 1)
     if reach < 2.0**53:
         return (queries @ ids.T).astype(np.int64)
-    return queries.astype(object).dot(ids.astype(object).T)
+    return queries.astype(np.int64).astype(object).dot(ids.astype(np.int64).astype(object).T)
 
 
 def search(vectors: DataFrame, settings: Settings = Settings()) -> DataFrame:
