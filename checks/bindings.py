@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldenlake.layout import Run
-from goldenlake.sources.readers import read_events, read_parquet
+from goldenlake.sources.readers import read_parquet
 
 # Clock readings of the dimension batches.
 BATCHES = {
@@ -26,7 +26,7 @@ def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One trip per line item, with keys in types other than the canonical ones and two extra columns."""
     pickup = "timestampadd(HOUR, l_linenumber, o_orderdate)"
     return (
-        read_events(spark, f"{sf_dir}/lineitem.parquet")
+        table(spark, sf_dir, "lineitem")
         .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .selectExpr(
@@ -65,7 +65,7 @@ def zones_raw(spark: SparkSession, sf_dir: str, batch: int = 1) -> DataFrame:
         records = records.filter("n_name <> 'NATION_3'")
     zones = records.selectExpr(
         "CAST(c_nationkey AS string) AS locationid",
-        "concat('  ', left(c_name, CAST(10 + c_custkey % 9 AS int))) AS zone",
+        "concat('  ', c_name, repeat(' x', CAST(c_custkey % 9 AS int))) AS zone",
         f"{borough} AS borough",
     )
     if batch > 1:

@@ -121,7 +121,7 @@ def _zone_records(batch: int) -> str:
         borough = f"CASE WHEN r_name = 'AFRICA' THEN 'moved' ELSE {borough} END"
     sql = f"""
 SELECT CAST(c_nationkey AS VARCHAR) AS locationid,
-       '  ' || left(c_name, CAST(10 + c_custkey % 9 AS INTEGER)) AS zone, {borough} AS borough
+       '  ' || c_name || repeat(' x', CAST(c_custkey % 9 AS INTEGER)) AS zone, {borough} AS borough
 FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"""
     if batch > 1:
         sql += """
@@ -245,13 +245,14 @@ LEFT JOIN (SELECT * FROM z_dim1 WHERE is_current) z ON t.pulocationid = z.locati
 LEFT JOIN (SELECT * FROM v_dim1 WHERE is_current) v ON t.vendorid = v.vendorid"""
 
 
-MONEY = "vendor_key, pickup_zone_key, trip_date, tpep_pickup_datetime, tpep_dropoff_datetime"
 RELATIONS["fact"] = f"""
-SELECT vendorid, pulocationid AS pickup_location_id, dolocationid AS dropoff_location_id, {MONEY}, trip_distance,
+SELECT vendorid, pulocationid AS pickup_location_id, dolocationid AS dropoff_location_id, vendor_key,
+       pickup_zone_key, trip_date, tpep_pickup_datetime, tpep_dropoff_datetime, trip_distance,
        fare_amount, total_amount, payment_type, trip_duration_minutes, speed_mph, zone_orphan_flag, vendor_orphan_flag
 FROM ({_fact("t_processed")})"""
 RELATIONS["fact_v0"] = f"""
-SELECT vendorid AS vendor_code, pulocationid AS pickup_location_id, dolocationid AS dropoff_location_id, {MONEY},
+SELECT vendorid AS vendor_code, pulocationid AS pickup_location_id, dolocationid AS dropoff_location_id, vendor_key,
+       pickup_zone_key, trip_date, tpep_pickup_datetime, tpep_dropoff_datetime,
        passenger_count, trip_distance, fare_amount, total_amount, payment_type, zone_orphan_flag, vendor_orphan_flag
 FROM ({_fact("t_processed_v0")})"""
 

@@ -22,7 +22,8 @@ from goldenlake.operators.scd2 import VENDORS, ZONES
 from goldenlake.operators.trips import dedupe_trips, measurable, payable_trips, with_trip_metrics
 from goldenlake.schemas import PROCESSED_COLUMNS, TRIP_COLUMNS, TRIP_TYPES
 from goldenlake.sources import catalog
-from goldenlake.sources.readers import read_events, read_parquet, read_text_table
+from goldenlake.session import prepare
+from goldenlake.sources.readers import read_parquet, read_text_table
 from goldenlake.sources.versioned import VersionedTable
 from goldenlake.sources.writers import append_audit, overwrite, snapshot, write_fact
 
@@ -47,7 +48,7 @@ def validate(spark: SparkSession, c: Config) -> DataFrame:
     """Back up what arrived (before any cast), split it, audit, and stop on a bad share of valid rows."""
     raw = read_parquet(spark, c.path("raw", "trips"))
     snapshot(raw, c.path("backup", "raw_snapshot"), c.run)
-    typed = normalize_types(read_events(spark, c.path("raw", "trips")), TRIP_TYPES)
+    typed = normalize_types(read_parquet(spark, c.path("raw", "trips")), TRIP_TYPES)
     valid, rejected = split(typed, c.rules, TRIP_COLUMNS)
     counts = q.row_counts(
         rows_in=raw,
@@ -63,7 +64,7 @@ def process(spark: SparkSession, c: Config) -> DataFrame:
     """Write processed trips. Survivors are counted as they pass in the writing stage, before the too short ones drop
     out; Spark counts a task of a writing stage once, also when it had to be repeated."""
     validated = read_parquet(spark, c.path("validated", "trips"))
-    survivors = with_trip_metrics(dedupe_trips(payable_trips(read_events(spark, c.path("validated", "trips")))))
+    survivors = with_trip_metrics(dedupe_trips(payable_trips(read_parquet(spark, c.path("validated", "trips")))))
     passed = Observation()
     written = overwrite(
         measurable(survivors.observe(passed, F.count("*").alias("rows"))).select(*PROCESSED_COLUMNS),
@@ -89,8 +90,9 @@ def master_zones(spark: SparkSession, c: Config) -> DataFrame:
 
 def master_vendors(spark: SparkSession, c: Config) -> DataFrame:
     trips = processed_trips(spark, c)
-    golden = overwrite(golden_vendors(trips, c.vendor_names), c.path("master", "vendors"))
+    golden = golden_vendors(trips, c.vendor_names)
     q.require_known(golden, "vendorid")
+    golden = overwrite(golden, c.path("master", "vendors"))
     audit = q.golden_shares(q.row_counts(rows_in=trips, rows_out=golden), q.VENDOR_AUDIT_LABELS, c.run.at)
     return append_audit(audit, c.path("audit", "master_vendors"))
 
@@ -159,6 +161,7 @@ def govern(spark: SparkSession, c: Config) -> DataFrame:
 
 def run_all(spark: SparkSession, c: Config) -> DataFrame:
     """Run every step in order; a failed guard or gate stops the run. Returns one row per step."""
+    prepare(spark)
     validated = validate(spark, c)
     processed = process(spark, c)
     zones, vendors = master_zones(spark, c), master_vendors(spark, c)

@@ -14,14 +14,6 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_events(spark: SparkSession, path: str) -> DataFrame:
-    """Scan of a table that heavy work follows. One that lies in fewer splits than there are cores is spread over them,
-    filters and column pruning still reaching the scan; a larger one is left as it is, without a shuffle."""
-    df = read_parquet(spark, path)
-    cores = spark.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def read_text_table(spark: SparkSession, path: str, required: Sequence[str]) -> DataFrame:
     """CSV with a header, every column as text, names in lower case. No pass over the data to infer types."""
     df = spark.read.option("header", True).csv(path)

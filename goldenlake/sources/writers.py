@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from goldenlake.layout import Run
 
-SINGLE_FILE_ROWS = 100_000
-
 
 def overwrite(df: DataFrame, path: str) -> DataFrame:
     """Replace a dataset and return it as read back: later steps scan files instead of repeating the plan."""
@@ -53,7 +51,6 @@ def append_audit(audit: DataFrame, path: str) -> DataFrame:
     return local
 
 
-def export_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header: one file where the rows are few (counted, with a bound), else as many as Spark writes."""
-    few = df.limit(SINGLE_FILE_ROWS + 1).count() <= SINGLE_FILE_ROWS
-    (df.repartition(1) if few else df).write.mode("overwrite").option("header", True).csv(path)
+def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
+    """CSV with a header, in as many files as Spark writes or, if asked for, in one, which one task then writes."""
+    (df.coalesce(1) if single_file else df).write.mode("overwrite").option("header", True).csv(path)

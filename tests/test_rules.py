@@ -11,7 +11,7 @@ from goldenlake.operators.quality import (
 )
 from goldenlake.operators.rules import TRIP_RULES, TRIP_RULES_V0, broken_rules, flag_rows, split
 from goldenlake.schemas import TRIP_COLUMNS
-from goldenlake.sources.readers import read_events
+from goldenlake.sources.readers import read_parquet
 
 BAD = {
     "vendor_known": {"vendorid": None},
@@ -81,15 +81,10 @@ def test_no_rows_pass_the_gate(spark):
     assert gated.first().valid_pct == 0.0
 
 
-def test_a_table_in_few_splits_is_spread_with_its_filters_below(spark, tmp_path, plan_of, set_conf):
+def test_nothing_is_shuffled_before_validation(spark, tmp_path, plan_of, set_conf):
     set_conf(spark__sql__maxMetadataStringLength="5000")
     trips(spark, trip(), trip(fare=-1.0)).coalesce(1).write.parquet(str(tmp_path / "t"))
-    spread = read_events(spark, str(tmp_path / "t"))
-    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    valid, _ = split(spread, TRIP_RULES, TRIP_COLUMNS)
-    below = plan_of(valid).split("Exchange RoundRobinPartitioning")[1]
-    assert "IsNotNull(vendorid)" in below and "passenger_count" not in below
+    valid, _ = split(read_parquet(spark, str(tmp_path / "t")), TRIP_RULES, TRIP_COLUMNS)
+    plan = plan_of(valid)
+    assert "Exchange" not in plan and "IsNotNull(vendorid)" in plan and "passenger_count" not in plan
     assert valid.count() == 1
-    set_conf(spark__sql__files__maxPartitionBytes="10KB")
-    trips(spark, *[trip()] * 8).repartition(8).write.parquet(str(tmp_path / "many"))
-    assert "Exchange" not in plan_of(read_events(spark, str(tmp_path / "many")))

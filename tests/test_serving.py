@@ -156,6 +156,6 @@ def test_sinks(spark, tmp_path):
     for _ in range(2):
         append_audit(df.agg(F.count("*").alias("n")), str(tmp_path / "audit"))
     assert documents(tmp_path / "audit") == [{"n": 2}, {"n": 2}]
-    export_csv(df.repartition(3), str(tmp_path / "csv"))
+    export_csv(df.repartition(3), str(tmp_path / "csv"), single_file=True)
     assert len(list((tmp_path / "csv").glob("*.csv"))) == 1
     assert rows(read_text_table(spark, str(tmp_path / "csv"), ["k", "v"])) == [("1", "a"), ("2", None)]
