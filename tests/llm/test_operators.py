@@ -246,3 +246,26 @@ def test_digest_of_an_empty_document(spark):
 
     first = driver.queries()["op1_byte_bpe"](spark, "/root/testdata/sf0.001").orderBy("doc_id").first()
     assert len(first.ids_sha256) == len(hashlib.sha256().hexdigest()) and first.n_tokens > 0
+
+
+def test_passages_of_repeated_words_and_of_unrelated_first_documents(spark):
+    settings = windows.Settings()
+    loop = ["the"] * 30 + ["to"] * 20 + [f"w{i}" for i in range(9)]
+    one = [f"a{i}" for i in range(40)] + loop
+    two = ["the"] * 11 + loop + [f"b{i}" for i in range(40)]
+    alone = ["same"] * 70
+    # The first document has single shingles of the passage, but not the passage.
+    text = [f"p{i}" for i in range(80)]
+    first = [w for i in range(0, 75, 5) for w in (*text[i : i + 5], *(f"x{i}.{j}" for j in range(50)))]
+    docs = {1: first, 2: one, 3: two, 4: alone, 5: ["u", *alone, "v"], 6: [*one[:40], *text], 7: ["q"] * 9 + text, 8: text + ["z"]}
+    rows = [(d, " ".join(words)) for d, words in docs.items()]
+    found = windows.passages(spark.createDataFrame(rows, "doc_id long, text string"), settings).collect()
+    covered = {d: np.zeros(len(w), bool) for d, w in docs.items()}
+    for r in found:
+        covered[r.doc_id][r.start : r.end] = True
+    assert not covered[1].any()
+    assert covered[2][40:].all() and covered[3][11:70].all()
+    assert covered[4].all() and covered[5][1:71].all()
+    assert covered[6][40:].all() and covered[7][9:].all() and covered[8][:80].all()
+    kept = {r.doc_id for r in windows.cut_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {1, 2, 4, 6} <= kept
