@@ -105,7 +105,7 @@ RELATIONS["t_eligible"] = _eligible("t_valid")
 RELATIONS["t_deduped"] = _first_per_trip("t_eligible")
 RELATIONS["t_measured"] = _measured("t_deduped")
 RELATIONS["t_processed"] = f"SELECT {PROCESSED} FROM t_measured"
-RELATIONS["t_eligible_v0"] = _eligible("t_valid_v0")
+RELATIONS["t_eligible_v0"] = "SELECT * FROM t_valid_v0 WHERE tpep_dropoff_datetime > tpep_pickup_datetime"
 RELATIONS["t_deduped_v0"] = _first_per_trip("t_eligible_v0", "passenger_count")
 RELATIONS["t_processed_v0"] = _measured("t_deduped_v0")
 
@@ -309,6 +309,7 @@ FROM (SELECT {AUDITED} AS run_ts, count(*) AS rows_in, count(*) FILTER (is_valid
     "dedupe_trips": "SELECT * FROM t_deduped",
     "derive_trip_metrics": f"SELECT * FROM ({_measured('t_eligible')})",
     "processed_trips": "SELECT * FROM t_processed",
+    "processed_trips_v0": f"SELECT {PROCESSED}, passenger_count FROM t_processed_v0",
     "process_audit": f"""
 SELECT *, CASE WHEN rows_in > 0 THEN (rows_in - rows_after_dedupe) / rows_in ELSE 0 END AS dedupe_reduction_pct
 FROM (SELECT {AUDITED} AS run_ts, (SELECT count(*) FROM t_valid) AS rows_in,

@@ -319,11 +319,15 @@ def fact_trips(spark, sf):
     return star(spark, sf)[0]
 
 
+@query
+def processed_trips_v0(spark, sf):
+    return t.process_trips_v0(r.split(typed(spark, sf), r.TRIP_RULES_V0, (*TRIP_COLUMNS, "passenger_count"))[0])
+
+
 @query
 def fact_trips_v0(spark, sf):
-    valid = r.split(typed(spark, sf), r.TRIP_RULES_V0, (*TRIP_COLUMNS, "passenger_count"))[0]
     _, zones, vendors = star(spark, sf)
-    return f.conform_fact(t.process_trips(valid, extra=("passenger_count",)), zones, vendors, f.FACT_COLUMNS_V0)
+    return f.conform_fact(processed_trips_v0(spark, sf), zones, vendors, f.FACT_COLUMNS_V0)
 
 
 @query

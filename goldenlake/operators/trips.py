@@ -50,6 +50,12 @@ def measurable(trips: DataFrame) -> DataFrame:
     return trips.filter("trip_duration_minutes > 0")
 
 
+def process_trips_v0(validated: DataFrame) -> DataFrame:
+    """The earlier processing: trips of any payment type, with their passengers."""
+    trips = validated.filter("tpep_dropoff_datetime > tpep_pickup_datetime")
+    return measurable(with_trip_metrics(dedupe_trips(trips))).select(*PROCESSED_COLUMNS, "passenger_count")
+
+
 def process_trips(validated: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     trips = measurable(with_trip_metrics(dedupe_trips(payable_trips(validated))))
     return trips.select(*PROCESSED_COLUMNS, *extra)
