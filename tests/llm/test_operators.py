@@ -269,3 +269,15 @@ def test_passages_of_repeated_words_and_of_unrelated_first_documents(spark):
     assert covered[6][40:].all() and covered[7][9:].all() and covered[8][:80].all()
     kept = {r.doc_id for r in windows.cut_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert {1, 2, 4, 6} <= kept
+
+
+def test_passages_are_held_against_the_smallest_copy(spark):
+    random = np.random.default_rng(9)
+    passage, one, two = words(random, 60), words(random, 40), words(random, 40)
+    rows = [(9, f"{one} {passage}"), (5, f"{one} {passage}"), (7, f"{two} {passage}")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    found = windows.passages(frame).collect()
+    assert {(r.doc_id, r.first_doc_id) for r in found if not r.is_first} == {(7, 5), (9, 5)}
+    assert {r.doc_id for r in found if r.is_first} == {5}
+    left = {r.doc_id: r.text for r in windows.cut_repeats(frame).collect()}
+    assert set(left) == {5, 7} and passage in left[5] and passage not in left[7]
