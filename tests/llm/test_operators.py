@@ -281,3 +281,21 @@ def test_passages_are_held_against_the_smallest_copy(spark):
     assert {r.doc_id for r in found if r.is_first} == {5}
     left = {r.doc_id: r.text for r in windows.cut_repeats(frame).collect()}
     assert set(left) == {5, 7} and passage in left[5] and passage not in left[7]
+
+
+@pytest.mark.parametrize("crowd", [2, 64])
+def test_passages_of_middle_documents(spark, crowd):
+    random = np.random.default_rng(11)
+    passage = words(random, 60).split()
+    # Unrelated documents at both ends of the ids have every run of five words of the passage, but not the passage.
+    runs = [w for i in range(56) for w in (*passage[i : i + 5], *words(random, 60).split())]
+    edited = [*passage[:30], "changed", *passage[31:]]
+    rows = [(d, " ".join(runs)) for d in (1, 2, 90, 91)]
+    rows += [(d, " ".join(words(random, 50).split() + own + words(random, 50).split())) for d, own in ((40, passage), (41, passage), (42, edited))]
+    found = windows.passages(spark.createDataFrame(rows, "doc_id long, text string"), windows.Settings(crowd=crowd)).collect()
+    covered = {d: np.zeros(len(text.split()), bool) for d, text in rows}
+    for r in found:
+        covered[r.doc_id][r.start : r.end] |= r.doc_id in (40, 41, 42)
+    assert all(covered[d][50:110].all() for d in (40, 41, 42))
+    assert {(r.doc_id, r.first_doc_id) for r in found if r.doc_id in (41, 42)} >= {(41, 40), (42, 40)}
+    assert {r.doc_id for r in found if r.is_first} <= {1, 40}
