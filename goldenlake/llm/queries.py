@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldenlake.llm import bpe, graph, jaccard, langid, licenses, packing, quality, token_counts, topk, windows
+from goldenlake.llm import (
+    bpe,
+    graph,
+    jaccard,
+    langid,
+    licenses,
+    negatives,
+    packing,
+    pii,
+    quality,
+    token_counts,
+    topk,
+    variants,
+    windows,
+)
 from goldenlake.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +101,20 @@ def op9_ngram_jaccard(spark, sf):
 @query
 def op10_pruned_graph(spark, sf):
     return graph.near_duplicates(table(spark, sf, "embeddings"))
+
+
+@query
+def op11_pii(spark, sf):
+    return pii.digests(pii.find(table(spark, sf, "documents").select("doc_id", "text")))
+
+
+@query
+def op12_permuterm_variants(spark, sf):
+    return variants.variants(table(spark, sf, "documents"))
+
+
+@query
+def op13_angular_negatives(spark, sf):
+    vectors = table(spark, sf, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(vectors.select("vec_id", moved.alias("label"), "embedding"))
