@@ -77,9 +77,38 @@ def zones_raw(spark: SparkSession, sf_dir: str, batch: int = 1) -> DataFrame:
     return zones
 
 
-def vendors_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The earlier vendor master, one text record per supplier: padded, empty and missing names, missing flags."""
-    return table(spark, sf_dir, "supplier").selectExpr(
+def trips_first_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What arrived of the trips before the last delivery: those of the two latest pickup dates are late, and on the earliest
+    date amounts are one too high."""
+    trips = trips_raw(spark, sf_dir)
+    day = F.to_date("tpep_pickup_datetime")
+    first, last = trips.agg(F.min(day), F.max(day)).first()
+    early = day.isNull() | (day < F.date_sub(F.lit(last), 1))
+    amount = F.when(day == F.lit(first), F.col("total_amount") + 1).otherwise(F.col("total_amount"))
+    return trips.filter(early).withColumn("total_amount", amount)
+
+
+def zones_in_files(spark: SparkSession, sf_dir: str, folder: str) -> str:
+    """Zone records as CSV folders with headers of different order and case. Where
+    the name's length leaves 2 when divided by 3, the line has a field too many."""
+    records = zones_raw(spark, sf_dir).withColumn("kind", F.pmod(F.length("zone"), F.lit(3)))
+    columns = {0: ["locationid", "zone", "borough"], 1: ["BOROUGH", "LocationID", "Zone"]}
+    for kind, names in columns.items():
+        own = records.filter(F.col("kind") == kind).select(*names)
+        own.write.option("header", True).csv(f"{folder}/{kind}")
+    lines = records.filter("kind = 2").select(F.concat_ws(",", "locationid", "zone", F.coalesce("borough", F.lit("")), F.lit("more")).alias("value"))
+    header = spark.createDataFrame([("locationid,zone,borough",)], "value string")
+    header.unionByName(lines).coalesce(1).write.text(f"{folder}/2")
+    return folder
+
+
+def vendors_raw(spark: SparkSession, sf_dir: str, batch: int = 1) -> DataFrame:
+    """The earlier vendor master, one text record per supplier: padded, empty and missing names, missing flags. In batch 2
+    every fifth supplier is gone and flags are dealt otherwise."""
+    suppliers = table(spark, sf_dir, "supplier")
+    if batch == 2:
+        suppliers = suppliers.filter("s_suppkey % 5 <> 0").withColumn("s_nationkey", F.expr("s_nationkey + s_suppkey % 2"))
+    return suppliers.selectExpr(
         "CAST(s_suppkey AS string) AS vendor_code",
         "CASE s_suppkey % 4 WHEN 0 THEN '  ' WHEN 1 THEN NULL ELSE concat(' ', s_name, ' ') END AS vendor_name",
         "CASE s_nationkey % 3 WHEN 0 THEN 'true' WHEN 1 THEN 'false' END AS active_flag",

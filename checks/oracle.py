@@ -45,31 +45,13 @@ SELECT * REPLACE (
   TRY_CAST(dolocationid AS INTEGER) AS dolocationid, TRY_CAST(payment_type AS INTEGER) AS payment_type)
 FROM t_raw"""
 
-RELATIONS["t_flagged"] = """
-SELECT *,
-  CASE WHEN vendorid IS NULL THEN FALSE
-       WHEN tpep_pickup_datetime IS NULL THEN FALSE
-       WHEN tpep_dropoff_datetime IS NULL THEN FALSE
-       WHEN tpep_dropoff_datetime <= tpep_pickup_datetime THEN FALSE
-       WHEN trip_distance < 0 THEN FALSE
-       WHEN fare_amount < 0 THEN FALSE
-       WHEN total_amount < 0 THEN FALSE
-       WHEN pulocationid IS NULL THEN FALSE
-       WHEN dolocationid IS NULL THEN FALSE
-       ELSE TRUE END AS is_valid
-FROM t_typed"""
-
-RELATIONS["t_flagged_v0"] = """
-SELECT *,
-  CASE WHEN tpep_pickup_datetime IS NULL THEN FALSE
-       WHEN tpep_dropoff_datetime IS NULL THEN FALSE
-       WHEN tpep_dropoff_datetime <= tpep_pickup_datetime THEN FALSE
-       WHEN passenger_count < 1 THEN FALSE
-       WHEN trip_distance < 0 THEN FALSE
-       WHEN fare_amount < 0 THEN FALSE
-       WHEN total_amount < 0 THEN FALSE
-       ELSE TRUE END AS is_valid
-FROM t_typed"""
+# A comparison with an unknown operand counts as passed, but for the order of the two times.
+MEASURES = "coalesce(least(trip_distance, fare_amount, total_amount) >= 0, TRUE)"
+IN_ORDER = "coalesce(tpep_dropoff_datetime > tpep_pickup_datetime, FALSE)"
+KEYED = "vendorid + pulocationid + dolocationid IS NOT NULL"
+RELATIONS["t_flagged"] = f"SELECT *, {IN_ORDER} AND {KEYED} AND {MEASURES} AS is_valid FROM t_typed"
+RELATIONS["t_flagged_v0"] = f"""
+SELECT *, {IN_ORDER} AND {MEASURES} AND coalesce(passenger_count, 1) >= 1 AS is_valid FROM t_typed"""
 
 RELATIONS["t_valid"] = f"SELECT {TRIP} FROM t_flagged WHERE is_valid"
 RELATIONS["t_valid_v0"] = f"SELECT {TRIP}, passenger_count FROM t_flagged_v0 WHERE is_valid"
@@ -155,14 +137,21 @@ VENDOR_NAME = (
 )
 RELATIONS["v_gold"] = f"SELECT DISTINCT vendorid, {VENDOR_NAME} AS vendor_name FROM t_processed"
 RELATIONS["v_known"] = "SELECT * FROM v_gold WHERE vendor_name <> 'UNKNOWN'"
-RELATIONS["v_v0"] = """
+
+
+def _vendors_v0(nation: str, kept: str) -> str:
+    return f"""
 SELECT TRY_CAST(code AS INTEGER) AS vendor_code,
        CASE WHEN name IS NULL OR name = '' THEN 'UNKNOWN' ELSE name END AS vendor_name,
        CASE WHEN flag IS NULL THEN TRUE ELSE TRY_CAST(flag AS BOOLEAN) END AS active_flag
 FROM (SELECT CAST(s_suppkey AS VARCHAR) AS code,
              upper(trim(CASE s_suppkey % 4 WHEN 0 THEN '  ' WHEN 1 THEN NULL ELSE ' ' || s_name || ' ' END)) AS name,
-             CASE s_nationkey % 3 WHEN 0 THEN 'true' WHEN 1 THEN 'false' END AS flag
-      FROM supplier)"""
+             CASE ({nation}) % 3 WHEN 0 THEN 'true' WHEN 1 THEN 'false' END AS flag
+      FROM supplier WHERE {kept})"""
+
+
+RELATIONS["v_v0"] = _vendors_v0("s_nationkey", "TRUE")
+RELATIONS["v_v0_second"] = _vendors_v0("s_nationkey + s_suppkey % 2", "s_suppkey % 5 <> 0")
 
 # -- dimensions
 
@@ -232,24 +221,49 @@ def _dimension(prefix: str, goldens: dict[int, str], surrogate: str, key: str, a
 
 _dimension("z", {b: f"z_gold{b}" for b in (1, 2, 3, 4)}, "zone_key", "locationid", ("zone", "borough"))
 _dimension("v", {1: "v_known", 2: "v_gold"}, "vendor_key", "vendorid", ("vendor_name",))
+_dimension("w", {1: "v_v0", 2: "v_v0_second"}, "vendor_key", "vendor_code", ("vendor_name", "active_flag"))
 
 # -- fact
 
 
-def _fact(trips: str) -> str:
+def _fact(trips: str, vendors: str = "v_dim1") -> str:
     return f"""
 SELECT t.*, v.vendor_key, z.zone_key AS pickup_zone_key,
        z.zone_key IS NULL AS zone_orphan_flag, v.vendor_key IS NULL AS vendor_orphan_flag
 FROM {trips} t
 LEFT JOIN (SELECT * FROM z_dim1 WHERE is_current) z ON t.pulocationid = z.locationid
-LEFT JOIN (SELECT * FROM v_dim1 WHERE is_current) v ON t.vendorid = v.vendorid"""
+LEFT JOIN (SELECT * FROM {vendors} WHERE is_current) v ON t.vendorid = v.vendorid"""
 
 
-RELATIONS["fact"] = f"""
-SELECT vendorid, pulocationid AS pickup_location_id, dolocationid AS dropoff_location_id, vendor_key,
-       pickup_zone_key, trip_date, tpep_pickup_datetime, tpep_dropoff_datetime, trip_distance,
-       fare_amount, total_amount, payment_type, trip_duration_minutes, speed_mph, zone_orphan_flag, vendor_orphan_flag
-FROM ({_fact("t_processed")})"""
+FACT = (
+    "vendorid, pulocationid AS pickup_location_id, dolocationid AS dropoff_location_id, vendor_key, pickup_zone_key, "
+    "trip_date, tpep_pickup_datetime, tpep_dropoff_datetime, trip_distance, fare_amount, total_amount, payment_type, "
+    "trip_duration_minutes, speed_mph, zone_orphan_flag, vendor_orphan_flag"
+)
+RELATIONS["fact"] = f"SELECT {FACT} FROM ({_fact('t_processed')})"
+
+# The lake after two runs: what the first delivery made of the trips, and the fact of the second with all vendors known.
+RELATIONS["first_raw"] = """
+SELECT * REPLACE (CASE WHEN tpep_pickup_datetime::DATE = (SELECT min(tpep_pickup_datetime)::DATE FROM t_raw)
+                       THEN total_amount + 1 ELSE total_amount END AS total_amount)
+FROM t_raw
+WHERE tpep_pickup_datetime IS NULL
+   OR tpep_pickup_datetime::DATE < (SELECT max(tpep_pickup_datetime)::DATE FROM t_raw) - 1"""
+RELATIONS["first_typed"] = """
+SELECT * REPLACE (CAST(pulocationid AS INTEGER) AS pulocationid, CAST(payment_type AS INTEGER) AS payment_type) FROM first_raw"""
+RELATIONS["first_valid"] = f"SELECT {TRIP} FROM first_typed WHERE {IN_ORDER} AND {KEYED} AND {MEASURES}"
+RELATIONS["first_eligible"] = _eligible("first_valid")
+RELATIONS["first_deduped"] = _first_per_trip("first_eligible")
+RELATIONS["first_measured"] = _measured("first_deduped")
+RELATIONS["v_all"] = f"""
+SELECT * FROM ({_initial(f"({_hashed('v_gold', 'vendorid', ('vendor_name',))})", 'vendor_key', 'vendorid', ('vendor_name',),
+                         AT[1])})"""
+RELATIONS["lake_fact"] = f"SELECT {FACT} FROM ({_fact('t_processed', 'v_all')})"
+RELATIONS["lake_first"] = f"SELECT {FACT} FROM ({_fact('first_measured', 'v_all')})"
+RELATIONS["touched"] = """
+SELECT DISTINCT trip_date FROM (
+  (SELECT * FROM lake_fact EXCEPT ALL SELECT * FROM lake_first) UNION ALL
+  (SELECT * FROM lake_first EXCEPT ALL SELECT * FROM lake_fact))"""
 RELATIONS["fact_v0"] = f"""
 SELECT vendorid AS vendor_code, pulocationid AS pickup_location_id, dolocationid AS dropoff_location_id, vendor_key,
        pickup_zone_key, trip_date, tpep_pickup_datetime, tpep_dropoff_datetime,
@@ -263,21 +277,96 @@ SELECT (SELECT count(*) FROM z_dim1) AS zone_dim, (SELECT count(*) FROM v_dim1)
 FROM fact"""
 
 
-def _gated(max_orphan_rate: float, min_completeness: float) -> str:
+def _gated(max_orphan_rate: float, min_completeness: float | None) -> str:
+    incomplete = ""
+    if min_completeness is not None:
+        incomplete = f"CASE WHEN completeness < {min_completeness} THEN printf('completeness %.4f', completeness) END, "
     return f"""
 SELECT *, CASE WHEN errors = '' THEN 'SUCCESS' ELSE 'FAILED' END AS status
 FROM (SELECT *, concat_ws('; ',
         CASE WHEN zone_dim = 0 THEN 'zone_dim empty' END,
         CASE WHEN vendor_dim = 0 THEN 'vendor_dim empty' END,
         CASE WHEN fact_trips = 0 THEN 'fact_trips empty' END,
-        CASE WHEN completeness < {min_completeness} THEN printf('completeness %.4f', completeness) END,
-        CASE WHEN zone_orphan_rate > {max_orphan_rate} THEN printf('zone orphan rate %.4f', zone_orphan_rate) END
+        {incomplete}CASE WHEN zone_orphan_rate > {max_orphan_rate} THEN printf('zone orphan rate %.4f', zone_orphan_rate) END
       ) AS errors FROM load)"""
 
 
 RELATIONS["load_gated"] = _gated(0.01, 0.99)
 
-COUNTED = "CAST({} AS BIGINT)"
+
+
+def exact_sum(column: str, scale: int = 4) -> str:
+    return f"sum(CAST({column} AS DECIMAL(18, {scale})))"
+
+
+def _zone_revenue(fact: str) -> str:
+    return f"""
+SELECT trip_date, pickup_zone_key, count(*) AS trip_count, CAST({exact_sum("total_amount")} AS DOUBLE) AS total_revenue,
+       CAST({exact_sum("fare_amount")} AS DOUBLE) / nullif(count(fare_amount), 0) AS avg_fare
+FROM {fact} GROUP BY trip_date, pickup_zone_key"""
+
+
+def _vendor_perf(fact: str) -> str:
+    return f"""
+SELECT trip_date, vendorid AS vendor_code, count(*) AS trip_count, CAST({exact_sum("total_amount")} AS DOUBLE) AS total_revenue,
+       CAST({exact_sum("trip_distance", 6)} AS DOUBLE) / nullif(count(trip_distance), 0) AS avg_trip_distance
+FROM {fact} GROUP BY trip_date, vendorid"""
+
+
+def _daily_revenue(fact: str) -> str:
+    return f"SELECT trip_date, CAST({exact_sum('total_amount')} AS DOUBLE) AS revenue FROM {fact} GROUP BY trip_date"
+
+
+def _serving_fact(fact: str) -> str:
+    return f"SELECT * RENAME (tpep_pickup_datetime AS pickup_datetime, tpep_dropoff_datetime AS dropoff_datetime) FROM {fact}"
+
+
+def _metrics(gated: str, more: str = "") -> str:
+    return f"""
+SELECT 'FactRowCount' AS name, CAST(fact_trips AS DOUBLE) AS value, 'Count' AS unit{more} FROM {gated}
+UNION ALL SELECT 'ZoneDimRowCount', zone_dim, 'Count'{more} FROM {gated}
+UNION ALL SELECT 'VendorDimRowCount', vendor_dim, 'Count'{more} FROM {gated}
+UNION ALL SELECT 'CompletenessPct', completeness * 100, 'Percent'{more} FROM {gated}
+UNION ALL SELECT 'OrphanRatePct', zone_orphan_rate * 100, 'Percent'{more} FROM {gated}
+UNION ALL SELECT 'PipelineDQStatus', 1, 'Count'{more} FROM {gated}"""
+
+
+def _run_load(fact: str, run: int) -> str:
+    return f"""
+SELECT '{BATCHES[run].run_id}' AS run_id, {AT[run]} AS run_ts, (SELECT count(*) FROM z_dim1) AS zone_dim,
+       (SELECT count(*) FROM v_all) AS vendor_dim, count(*) AS fact_trips, count(total_amount) / count(*) AS completeness,
+       count(*) FILTER (zone_orphan_flag) / count(*) AS zone_orphan_rate
+FROM {fact}"""
+
+
+RELATIONS["lake_load"] = f"{_run_load('lake_first', 1)} UNION ALL {_run_load('lake_fact', 2)}"
+
+
+def _run_audits(run: int, raw: str, valid: str, processed: str, inserted: int, written: str) -> str:
+    zones, vendors = "(SELECT count(*) FROM z_gold1)", "(SELECT count(*) FROM v_gold)"
+    rows = [
+        ("validate", f"(SELECT count(*) FROM {raw})", f"(SELECT count(*) FROM {valid})"),
+        ("process", f"(SELECT count(*) FROM {valid})", f"(SELECT count(*) FROM {processed})"),
+        ("master_zones", "(SELECT count(*) FROM z_raw1)", zones),
+        ("master_vendors", f"(SELECT count(*) FROM {processed})", vendors),
+        ("scd2_zones", zones, f"{inserted} * {zones}"),
+        ("scd2_vendors", vendors, f"{inserted} * {vendors}"),
+        ("fact_trips", f"(SELECT count(*) FROM {processed})", f"(SELECT count(*) FROM {written})"),
+        ("governance", f"(SELECT count(*) FROM {processed})", zones),
+    ]
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS audit, '{BATCHES[run].run_id}' AS run_id, CAST({a} AS BIGINT) AS rows_in, CAST({b} AS BIGINT) AS rows_out"
+        for name, a, b in rows
+    )
+
+
+def _backup(raw: str, run: int) -> str:
+    return f"""
+SELECT '{BATCHES[run].run_id}' AS run_id, count(*) AS rows, count(vendorid) AS vendors, count(passenger_count) AS passengers,
+       CAST(sum(CAST(payment_type AS INTEGER)) AS VARCHAR) AS payment_types
+FROM {raw}"""
+
+
 SELECTS: dict[str, str] = {
     "scan_trips": "SELECT * FROM t_raw",
     "normalize_types": "SELECT * FROM t_typed",
@@ -412,6 +501,63 @@ UNION ALL SELECT 'zone_dim', count(*) FROM z_dim1
 UNION ALL SELECT 'vendor_dim', count(*) FROM v_dim1""",
     "load_gate": "SELECT * FROM load_gated",
     "load_gate_strict": f"SELECT * FROM ({_gated(0.001, 0.999)})",
+    "load_gate_counts": f"SELECT * FROM ({_gated(0.01, None)})",
+    "exact_totals": f"""
+SELECT vendorid, count(*) AS trips, CAST({exact_sum("total_amount")} AS VARCHAR) AS total_amount,
+       CAST({exact_sum("fare_amount")} AS VARCHAR) AS fare_amount,
+       CAST({exact_sum("trip_distance", 6)} AS VARCHAR) AS trip_distance,
+       CAST({exact_sum("trip_duration_minutes", 2)} AS VARCHAR) AS trip_duration_minutes
+FROM fact GROUP BY vendorid""",
+    "scd2_next": f"""
+SELECT 'keep' AS op, * FROM z_dim1 WHERE locationid NOT IN (SELECT locationid FROM z_chg2)
+UNION ALL SELECT 'expire', * FROM z_exp2 WHERE NOT is_current
+UNION ALL SELECT 'insert', * FROM z_dim2 WHERE start_date = {AT[2]}""",
+    "scd2_vendors_v0_merge": "SELECT * FROM w_dim2",
+    "commit_details": """
+SELECT 0 AS version, 'first_run' AS action, count(*) AS changed_keys, count(*) AS rows_in_golden, 'zones of batch-1' AS source_path
+FROM z_dim1
+UNION ALL SELECT 1, 'merge_scd2', (SELECT count(*) FROM z_chg2), count(*), 'zones of batch-2' FROM z_gold2
+UNION ALL SELECT 2, 'merge_scd2', (SELECT count(*) FROM z_chg4), count(*), 'zones of batch-4' FROM z_gold4""",
+    "zones_by_header": """
+SELECT locationid, trim(zone) AS zone, nullif(trim(borough), '') AS borough FROM z_raw1 WHERE length(zone) % 3 < 2""",
+    "zones_malformed": """
+SELECT locationid || ',' || zone || ',' || coalesce(borough, '') || ',more' AS line FROM z_raw1 WHERE length(zone) % 3 = 2""",
+    "fact_incremental": "SELECT * FROM lake_fact",
+    "fact_dates_touched": "SELECT trip_date, count(*) AS rows FROM lake_fact WHERE trip_date IN (FROM touched) GROUP BY trip_date",
+    "curated_catalog": f"""
+SELECT CAST(date_trunc('month', trip_date) AS DATE) AS trip_month, count(*) AS trips, count(DISTINCT trip_date) AS dates,
+       CAST({exact_sum("total_amount")} AS VARCHAR) AS revenue
+FROM lake_fact GROUP BY 1""",
+    "curated_daily_revenue": _daily_revenue("lake_fact"),
+    "published_zone_revenue": _zone_revenue("lake_fact"),
+    "published_vendor_perf": _vendor_perf("lake_fact"),
+    "published_fact_trips": _serving_fact("lake_fact"),
+    "published_dimensions": """
+SELECT 'zone' AS dimension, zone_key AS surrogate, locationid AS key, version_number, is_current, start_date, end_date, hash_diff
+FROM z_dim1
+UNION ALL SELECT 'vendor', vendor_key, vendorid, version_number, is_current, start_date, end_date, hash_diff FROM v_all""",
+    "staged_runs": """
+SELECT t AS table_name, run_id, n AS rows FROM lake_load UNPIVOT (n FOR t IN (zone_dim, vendor_dim, fact_trips))""",
+    "serving_layout": """
+SELECT CAST(0 AS BIGINT) AS out_of_order, count(*) AS trips, CAST(0 AS BIGINT) AS split_places FROM lake_fact""",
+    "backup_snapshots": f"{_backup('first_raw', 1)} UNION ALL {_backup('t_raw', 2)}",
+    "audit_log": " UNION ALL ".join([
+        _run_audits(1, "first_raw", "first_valid", "first_measured", 1, "first_measured"),
+        _run_audits(2, "t_raw", "t_valid", "t_processed", 0, "(SELECT * FROM lake_fact WHERE trip_date IN (FROM touched))"),
+    ]),
+    "load_documents": """
+SELECT run_id, run_ts AS run_ts_utc, 'zone_dim,vendor_dim,fact_trips' AS tables, zone_dim, vendor_dim, fact_trips, completeness,
+       zone_orphan_rate AS orphan_rate, CAST(0 AS BIGINT) AS failures, 'SUCCESS' AS status
+FROM lake_load""",
+    "metric_points_log": _metrics("lake_load", ", run_id, run_ts"),
+    "tables_exist": """
+SELECT 'zones' AS dimension, TRUE AS present, count(*) AS current_rows FROM z_dim1 WHERE is_current
+UNION ALL SELECT 'vendors', TRUE, count(*) FROM v_all
+UNION ALL SELECT 'drivers', FALSE, 0""",
+    "catalog_evolved": """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS order_year, count(*) AS orders, count(DISTINCT o_custkey) AS customers,
+       count(o_totalprice) AS priced
+FROM orders WHERE year(o_orderdate) > (SELECT min(year(o_orderdate)) FROM orders) GROUP BY 1""",
     "metric_points": """
 SELECT 'FactRowCount' AS name, CAST(fact_trips AS DOUBLE) AS value, 'Count' AS unit FROM load_gated
 UNION ALL SELECT 'ZoneDimRowCount', zone_dim, 'Count' FROM load_gated
@@ -430,17 +576,10 @@ FROM (SELECT count(*) AS fact_count,
         (SELECT count(*) FROM z_dim1 WHERE is_current) AS current_zones,
         (SELECT count(*) FROM v_dim1 WHERE is_current) AS current_vendors
       FROM fact)""",
-    "agg_daily_zone_revenue": """
-SELECT trip_date, pickup_zone_key, count(*) AS trip_count, round(sum(total_amount), 4) AS total_revenue,
-       round(sum(fare_amount), 4) / nullif(count(fare_amount), 0) AS avg_fare
-FROM fact GROUP BY trip_date, pickup_zone_key""",
-    "agg_daily_vendor_perf": """
-SELECT trip_date, vendorid AS vendor_code, count(*) AS trip_count, round(sum(total_amount), 4) AS total_revenue,
-       round(sum(trip_distance), 4) / nullif(count(trip_distance), 0) AS avg_trip_distance
-FROM fact GROUP BY trip_date, vendorid""",
-    "daily_revenue": "SELECT trip_date, round(sum(total_amount), 4) AS revenue FROM fact GROUP BY trip_date",
-    "serving_fact_trips": """
-SELECT * RENAME (tpep_pickup_datetime AS pickup_datetime, tpep_dropoff_datetime AS dropoff_datetime) FROM fact""",
+    "agg_daily_zone_revenue": _zone_revenue("fact"),
+    "agg_daily_vendor_perf": _vendor_perf("fact"),
+    "daily_revenue": _daily_revenue("fact"),
+    "serving_fact_trips": _serving_fact("fact"),
     "serving_zone_dim": "SELECT * RENAME (locationid AS location_id) FROM z_dim2",
     "serving_vendor_dim": "SELECT * FROM v_dim2",
     "full_run_summary": """
@@ -472,7 +611,7 @@ def _needed(sql: str) -> list[str]:
 
 def statement(select: str) -> str:
     parts = [f"{name} AS ({RELATIONS[name].strip()})" for name in _needed(select)]
-    return f"WITH {', '.join(parts)} {select.strip()}"
+    return f"WITH {', '.join(parts)} {select.strip()}" if parts else select.strip()
 
 
 def all_statements() -> dict[str, str]:

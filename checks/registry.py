@@ -4,10 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from checks.bindings import AUDIT_TS, BATCHES, trips_raw, vendors_raw, zones_raw
+from checks.bindings import (
+    AUDIT_TS,
+    BATCHES,
+    trips_first_delivery,
+    trips_raw,
+    vendors_raw,
+    zones_in_files,
+    zones_raw,
+)
 from goldenlake.layout import Layout, Run, timestamp_literal
 from goldenlake.operators import fact as f
 from goldenlake.operators import master as m
@@ -17,9 +25,11 @@ from goldenlake.operators import scd2 as s
 from goldenlake.operators import serving as v
 from goldenlake.operators import trips as t
 from goldenlake.operators.normalize import normalize_types
-from goldenlake.plans.run import Config, run_all
+from goldenlake.plans.run import Config, dimension, fact_table, run_all
 from goldenlake.schemas import FACT_TRIPS, TRIP_COLUMNS, TRIP_TYPES, VENDOR_DIM, ZONE_DIM
 from goldenlake.session import prepare, shared_folder
+from goldenlake.sources import catalog
+from goldenlake.sources.readers import malformed, read_text_table, well_formed
 from goldenlake.sources.versioned import VersionedTable
 from goldenlake.sources.writers import export_csv, overwrite
 
@@ -50,6 +60,17 @@ def audited() -> Column:
     return timestamp_literal(AUDIT_TS)
 
 
+#: What queries of one session share: written once for each folder of tables.
+_SHARED: dict[tuple[str, str, str], object] = {}
+
+
+def shared(what: str, spark: SparkSession, sf: str, make: Callable[[], object]) -> object:
+    key = (what, spark.sparkContext.applicationId, sf)
+    if key not in _SHARED:
+        _SHARED[key] = make()
+    return _SHARED[key]
+
+
 def written(df: DataFrame) -> DataFrame:
     """A table in the shared folder that holds ``df``: what is read more than once is computed once."""
     return overwrite(df, shared_folder(df.sparkSession))
@@ -200,12 +221,6 @@ def known(vendors: DataFrame) -> DataFrame:
     return vendors.filter(F.col("vendor_name") != m.UNKNOWN_VENDOR)
 
 
-def first_and_staged(spark, sf) -> tuple[DataFrame, DataFrame]:
-    """The dimension after batch 1 and the staged changes of batch 2, written: each is read more than once."""
-    dim = written(scd2_initial(spark, sf))
-    return dim, written(s.scd2_stage(s.scd2_changes(golden_batch(spark, sf, 2), dim, s.ZONES), s.ZONES, at(2)))
-
-
 @query
 def hash_diff(spark, sf):
     return s.with_hash_diff(m.standardize_zones(zones_raw(spark, sf)), s.ZONES)
@@ -228,13 +243,17 @@ def scd2_stage(spark, sf):
 
 @query
 def scd2_expire(spark, sf):
-    dim, staged = first_and_staged(spark, sf)
-    return s.scd2_expire(dim, staged.filter("op = 'expire'"), s.ZONES, at(2))
+    return s.scd2_expire(written(scd2_initial(spark, sf)), golden_batch(spark, sf, 2), s.ZONES, at(2))
 
 
 @query
 def scd2_merge(spark, sf):
-    return s.scd2_merge(*first_and_staged(spark, sf), s.ZONES, at(2))
+    return s.scd2_merge(written(scd2_initial(spark, sf)), golden_batch(spark, sf, 2), s.ZONES, at(2))
+
+
+@query
+def scd2_next(spark, sf):
+    return s.scd2_next(golden_batch(spark, sf, 2), scd2_initial(spark, sf), s.ZONES, at(2))
 
 
 def scd2_audit_of(golden: DataFrame, dim: DataFrame, batch: int) -> DataFrame:
@@ -256,9 +275,7 @@ def scd2_noop(spark, sf):
 @query
 def scd2_vendors(spark, sf):
     golden = written(golden_vendors(spark, sf))
-    dim = written(s.scd2_initial(known(golden), s.VENDORS, at(1)))
-    staged = written(s.scd2_stage(s.scd2_changes(golden, dim, s.VENDORS), s.VENDORS, at(2)))
-    return s.scd2_merge(dim, staged, s.VENDORS, at(2))
+    return s.scd2_merge(written(s.scd2_initial(known(golden), s.VENDORS, at(1))), golden, s.VENDORS, at(2))
 
 
 @query
@@ -266,12 +283,23 @@ def scd2_vendors_v0(spark, sf):
     return s.scd2_initial(vendor_defaults(spark, sf), s.VENDORS_V0, at(1))
 
 
+@query
+def scd2_vendors_v0_merge(spark, sf):
+    """A second delivery with other flags and names, and vendors that left."""
+    second = m.vendor_defaults(vendors_raw(spark, sf, 2))
+    return s.scd2_merge(written(scd2_vendors_v0(spark, sf)), second, s.VENDORS_V0, at(2))
+
+
 @query
 def scd2_violations(spark, sf):
     return s.scd2_violations(scd2_merge(spark, sf), s.ZONES)
 
 
 def zone_table(spark, sf, batches) -> VersionedTable:
+    return shared(f"zones {batches}", spark, sf, lambda: _zone_table(spark, sf, batches))
+
+
+def _zone_table(spark, sf, batches) -> VersionedTable:
     dim = VersionedTable(spark, f"{shared_folder(spark)}/{s.ZONES.name}", s.ZONES)
     for batch in batches:
         golden = overwrite(golden_batch(spark, sf, batch), f"{dim.path}/golden/{BATCHES[batch].run_id}")
@@ -291,7 +319,8 @@ def dim_latest(spark, sf):
 
 @query
 def dim_as_of_version(spark, sf):
-    return zone_table(spark, sf, (1, 2, 3, 4)).read(1)
+    """As of the second batch, told from the validity dates of all rows."""
+    return s.scd2_as_of(dim_latest(spark, sf), s.ZONES, at(2))
 
 
 @query
@@ -299,19 +328,26 @@ def commit_history(spark, sf):
     return zone_table(spark, sf, (1, 2, 3, 4)).history().drop("metadata")
 
 
+@query
+def commit_details(spark, sf):
+    """The metadata that commits carry, read back with a schema."""
+    details = F.from_json("metadata", "action string, changed_keys bigint, rows_in_golden bigint, source_path string")
+    return zone_table(spark, sf, (1, 2, 3, 4)).history().select("version", details.alias("told")).select("version", "told.*")
+
+
 # -- fact and what is computed from it
 
 
 def star(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Fact, zone dimension and vendor dimension.
+    """Fact, zone dimension and vendor dimension, as a run leaves them: written tables, made once for a session."""
+    return shared("star", spark, sf, lambda: _star(spark, sf))
+
 
-    Processed trips are written once, because both the vendor master and the fact read them; so are the dimensions, so
-    that their size is known when the joins are planned. The fact itself stays a plan.
-    """
+def _star(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
     trips = written(processed_trips(spark, sf))
     zones = written(s.scd2_initial(golden_zones(spark, sf), s.ZONES, at(1)))
     vendors = written(s.scd2_initial(known(m.golden_vendors(trips)), s.VENDORS, at(1)))
-    return f.conform_fact(trips, zones, vendors), zones, vendors
+    return written(f.conform_fact(trips, zones, vendors)), zones, vendors
 
 
 @query
@@ -383,6 +419,12 @@ def load_gate_strict(spark, sf):
     return flat_errors(q.load_gate(q.load_metrics(*star(spark, sf)), checks))
 
 
+@query
+def load_gate_counts(spark, sf):
+    """The gate without completeness: empty tables and orphans only."""
+    return flat_errors(q.load_gate(q.load_metrics(*star(spark, sf)), q.load_checks()))
+
+
 @query
 def metric_points(spark, sf):
     return v.metric_points(loaded(spark, sf))
@@ -393,19 +435,34 @@ def governance_metrics(spark, sf):
     return q.governance_metrics(*star(spark, sf), audited())
 
 
+def as_double(df: DataFrame, *columns: str) -> DataFrame:
+    """Exact decimals as the doubles next to them."""
+    return df.withColumns({c: F.col(c).cast("double") for c in columns})
+
+
+def as_text(df: DataFrame) -> DataFrame:
+    """Exact decimals with all of their digits."""
+    return df.withColumns({n: F.col(n).cast("string") for n, t in df.dtypes if t.startswith("decimal")})
+
+
 @query
 def agg_daily_zone_revenue(spark, sf):
-    return v.agg_daily_zone_revenue(fact_trips(spark, sf))
+    return as_double(v.agg_daily_zone_revenue(fact_trips(spark, sf)), "total_revenue")
 
 
 @query
 def agg_daily_vendor_perf(spark, sf):
-    return v.agg_daily_vendor_perf(fact_trips(spark, sf))
+    return as_double(v.agg_daily_vendor_perf(fact_trips(spark, sf)), "total_revenue")
 
 
 @query
 def daily_revenue(spark, sf):
-    return v.daily_revenue(fact_trips(spark, sf))
+    return as_double(v.daily_revenue(fact_trips(spark, sf)), "revenue")
+
+
+@query
+def exact_totals(spark, sf):
+    return as_text(v.exact_totals(fact_trips(spark, sf)))
 
 
 @query
@@ -427,10 +484,213 @@ def serving_vendor_dim(spark, sf):
 def full_run_summary(spark, sf):
     folder = shared_folder(spark)
     run = Run("full-run", AUDIT_TS)
-    # These tables spread few trips over many days, so the fact is laid out by month.
+    # By month: these tables spread few trips over many days. The queries over the lake below use the default, by date.
     config = Config(
         Layout(folder), run, database=f"goldenlake_{folder.rsplit('/', 1)[1]}", fact_partition="trip_month"
     )
     overwrite(trips_raw(spark, sf), config.path("raw", "trips"))
     export_csv(zones_raw(spark, sf), config.path("raw", "zones"))
     return run_all(spark, config)
+
+
+# -- zones as files
+
+
+@query
+def zones_by_header(spark, sf):
+    """Zone records from files whose headers differ in order and case, without the lines that do not fit."""
+    return well_formed(_zone_files(spark, sf))
+
+
+@query
+def zones_malformed(spark, sf):
+    return malformed(_zone_files(spark, sf))
+
+
+def _zone_files(spark, sf) -> DataFrame:
+    return written(read_text_table(spark, f"{zones_in_files(spark, sf, shared_folder(spark))}/*", ["locationid", "zone", "borough"]))
+
+
+# -- a lake after two runs: the second one brings late trips and a correction
+
+
+def lake(spark, sf) -> Config:
+    return shared("lake", spark, sf, lambda: _lake(spark, sf))
+
+
+def _lake(spark, sf) -> Config:
+    folder = shared_folder(spark)
+    database = f"goldenlake_{folder.rsplit('/', 1)[1]}"
+    for batch, trips in ((1, trips_first_delivery), (2, trips_raw)):
+        config = Config(Layout(folder), BATCHES[batch], database=database)
+        overwrite(trips(spark, sf), config.path("raw", "trips"))
+        export_csv(zones_raw(spark, sf), config.path("raw", "zones"))
+        run_all(spark, config)
+    return config
+
+
+@query
+def fact_incremental(spark, sf):
+    """The fact read back; only dates that changed were written by the second run."""
+    return fact_table(spark, lake(spark, sf)).read()
+
+
+@query
+def fact_dates_touched(spark, sf):
+    """Dates that the second run wrote, and their rows."""
+    config = lake(spark, sf)
+    return fact_table(spark, config).touched(config.run).select(F.col("part").alias("trip_date"), "rows")
+
+
+@query
+def curated_catalog(spark, sf):
+    """The fact by way of the catalog, where each date's location is the run it lives in: per month, and the dates seen."""
+    fact = spark.table(f"{lake(spark, sf).database}.curated_fact_trips")
+    return as_text(
+        fact.groupBy(F.trunc("trip_date", "MM").alias("trip_month")).agg(
+            F.count("*").alias("trips"), F.count_distinct("trip_date").alias("dates"), v.exact_sum("total_amount").alias("revenue")
+        )
+    )
+
+
+@query
+def curated_daily_revenue(spark, sf):
+    return as_double(spark.table(f"{lake(spark, sf).database}.curated_daily_revenue"), "revenue")
+
+
+@query
+def published_zone_revenue(spark, sf):
+    """The aggregate as readers see it, after the refill of the months that changed."""
+    return as_double(spark.table(f"{lake(spark, sf).database}.agg_daily_zone_revenue"), "total_revenue")
+
+
+@query
+def published_vendor_perf(spark, sf):
+    return as_double(spark.table(f"{lake(spark, sf).database}.agg_daily_vendor_perf"), "total_revenue")
+
+
+@query
+def published_fact_trips(spark, sf):
+    return spark.table(f"{lake(spark, sf).database}.fact_trips")
+
+
+@query
+def published_dimensions(spark, sf):
+    database = lake(spark, sf).database
+    zones, vendors = spark.table(f"{database}.zone_dim"), spark.table(f"{database}.vendor_dim")
+    columns = ("version_number", "is_current", "start_date", "end_date", "hash_diff")
+    zones = zones.select(F.lit("zone").alias("dimension"), F.col("zone_key").alias("surrogate"), F.col("location_id").alias("key"), *columns)
+    vendors = vendors.select(F.lit("vendor").alias("dimension"), F.col("vendor_key").alias("surrogate"), F.col("vendorid").alias("key"), *columns)
+    return zones.unionByName(vendors)
+
+
+@query
+def staged_runs(spark, sf):
+    """Rows of each serving table by run: those of earlier runs stay until they are vacuumed."""
+    database = lake(spark, sf).database
+    counts = [
+        spark.table(f"{database}.{t}__runs").groupBy("run_id").agg(F.count("*").alias("rows")).select(F.lit(t).alias("table_name"), "*")
+        for t in catalog.SERVING_TABLES
+    ]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
+@query
+def serving_layout(spark, sf):
+    """How the serving fact lies on disk: rows that stand out of order in their file, and dates and vendors that share no
+    one bucket. Both are 0."""
+    config = lake(spark, sf)
+    rows = spark.table(f"{config.database}.fact_trips__runs").filter(F.col("run_id") == config.run.run_id)
+    rows = rows.select(
+        F.struct("trip_date", "vendorid").alias("place"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at")
+    )
+    # A row's file and number are known; what stood before it is the row with the number before.
+    before = F.lag("place").over(Window.partitionBy("file").orderBy("at"))
+    disorder = rows.withColumn("before", before).agg(F.count_if(F.col("before") > F.col("place")).alias("out_of_order"), F.count("*").alias("trips"))
+    split = rows.groupBy("place").agg(F.count_distinct("file").alias("files")).agg(F.count_if(F.col("files") > 1).alias("split_places"))
+    return q.merge_rows(disorder, split)
+
+
+@query
+def backup_snapshots(spark, sf):
+    """What arrived, by run, with the types it arrived in."""
+    kept = spark.read.parquet(lake(spark, sf).path("backup", "raw_snapshot"))
+    return as_text(
+        kept.groupBy("run_id").agg(
+            F.count("*").alias("rows"), F.count("vendorid").alias("vendors"), F.count("passenger_count").alias("passengers"),
+            F.sum(F.try_to_number("payment_type", F.lit("9"))).alias("payment_types"),
+        )
+    )
+
+
+AUDITS = {
+    "validate": ("rows_in bigint, rows_valid bigint, rows_quarantined bigint", "rows_in", "rows_valid"),
+    "process": ("rows_in bigint, rows_after_dedupe bigint, rows_out bigint", "rows_in", "rows_out"),
+    "master_zones": ("rows_in bigint, rows_out bigint, duplicates_removed bigint", "rows_in", "rows_out"),
+    "master_vendors": ("rows_in bigint, rows_out bigint, duplicates_removed bigint", "rows_in", "rows_out"),
+    "scd2_zones": ("rows_in_golden bigint, rows_inserted bigint, note string", "rows_in_golden", "rows_inserted"),
+    "scd2_vendors": ("rows_in_golden bigint, rows_inserted bigint, note string", "rows_in_golden", "rows_inserted"),
+    "fact_trips": ("rows_total bigint, dates_written bigint, rows_written bigint", "rows_total", "rows_written"),
+    "governance": ("fact_count bigint, current_zones bigint, current_vendors bigint", "fact_count", "current_zones"),
+}
+
+
+@query
+def audit_log(spark, sf):
+    """Every audit of both runs, read back with a schema."""
+    config = lake(spark, sf)
+    rows = None
+    for name, (schema, rows_in, rows_out) in AUDITS.items():
+        log = spark.read.schema(f"{schema}, run_id string").json(config.path("audit", name))
+        own = log.select(F.lit(name).alias("audit"), "run_id", F.col(rows_in).alias("rows_in"), F.col(rows_out).alias("rows_out"))
+        rows = own if rows is None else rows.unionByName(own)
+    return rows
+
+
+@query
+def load_documents(spark, sf):
+    """The nested documents of both publishes, read back with a schema and laid flat."""
+    schema = (
+        "run_id string, run_ts_utc timestamp_ntz, targets struct<schema: string, tables: array<string>>, "
+        "counts struct<zone_dim: bigint, vendor_dim: bigint, fact_trips: bigint>, dq struct<completeness: double, "
+        "completeness_min: double, orphan_rate: double, orphan_rate_max: double, failures: array<string>>, status string"
+    )
+    log = spark.read.schema(schema).json(lake(spark, sf).path("audit", "load"))
+    return log.select(
+        "run_id", "run_ts_utc", F.concat_ws(",", "targets.tables").alias("tables"), "counts.*", "dq.completeness", "dq.orphan_rate",
+        F.size("dq.failures").cast("bigint").alias("failures"), "status",
+    )
+
+
+@query
+def metric_points_log(spark, sf):
+    schema = "run_id string, run_ts timestamp_ntz, name string, value double, unit string"
+    return spark.read.schema(schema).json(lake(spark, sf).path("audit", "metric_points"))
+
+
+@query
+def tables_exist(spark, sf):
+    """The probe for a dimension's first use, on two that exist and one that does not."""
+    config = lake(spark, sf)
+    tables = {name: dimension(spark, config, name) for name in ("zones", "vendors")}
+    tables["drivers"] = VersionedTable(spark, config.path("scd2", "dim_drivers"), s.VENDORS)
+    rows = [(name, table.exists(), table.current().count() if table.exists() else 0) for name, table in tables.items()]
+    return spark.createDataFrame(rows, "dimension string, present boolean, current_rows bigint")
+
+
+@query
+def catalog_evolved(spark, sf):
+    """Orders by year in the catalog, after the folder gained a column and a year and lost a year: the table was updated in
+    place and reads like the folder."""
+    folder = shared_folder(spark)
+    name = f"goldenlake_{folder.rsplit('/', 1)[1]}.orders"
+    orders = spark.read.parquet(f"{sf}/orders.parquet").select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("order_year"), "o_totalprice")
+    first, last = orders.agg(F.min("order_year"), F.max("order_year")).first()
+    orders.drop("o_totalprice").filter(F.col("order_year") < last).write.partitionBy("order_year").parquet(folder)
+    catalog.update_table(spark, name, spark.read.parquet(folder).schema, folder, ("order_year",))
+    catalog.attach_folder(spark, name, folder)
+    orders.filter(F.col("order_year") > first).write.mode("overwrite").partitionBy("order_year").parquet(folder)
+    catalog.attach_folder(spark, name, folder)
+    return spark.table(name).groupBy("order_year").agg(
+        F.count("*").alias("orders"), F.count_distinct("o_custkey").alias("customers"), F.count("o_totalprice").alias("priced")
+    )

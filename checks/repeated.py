@@ -43,7 +43,7 @@ def validate(spark: SparkSession, c: steps.Config, out: str) -> None:
 
 
 def process(spark: SparkSession, c: steps.Config, out: str) -> None:
-    validated = spark.read.parquet(c.path("validated", "trips"))
+    validated = steps.of_run(spark, c, "validated", "trips")
     processed = process_trips(validated)
     for df in (validated, dedupe_trips(payable_trips(validated)), processed):
         df.count()
@@ -67,7 +67,7 @@ def fact(spark: SparkSession, c: steps.Config, out: str) -> None:
 
 
 def govern(spark: SparkSession, c: steps.Config, out: str) -> None:
-    rows = spark.read.parquet(c.path("curated", "fact_trips"))
+    rows = steps.fact_table(spark, c).read()
     incomplete = " OR ".join(f"{f} IS NULL" for f in REQUIRED_FACT_FIELDS)
     for df in (rows, rows.filter("zone_orphan_flag"), rows.filter("vendor_orphan_flag"), rows.filter(incomplete)):
         df.count()

@@ -173,13 +173,18 @@ def process_audit(validated: DataFrame, run_ts: Column) -> DataFrame:
     return process_shares(merge_rows(validated.agg(F.count("*").alias("rows_in")), deduped), run_ts)
 
 
+def _malformed_rows(counts: DataFrame) -> Column:
+    return F.col("rows_malformed") if "rows_malformed" in counts.columns else F.lit(0)
+
+
 def golden_shares(counts: DataFrame, labels: Mapping[str, str], run_ts: Column) -> DataFrame:
-    """Audit row from ``rows_in`` and ``rows_out``. ``labels`` are constant text columns, such as the business key."""
+    """Audit row from ``rows_in`` and ``rows_out`` and, where a source has them, ``rows_malformed``. ``labels`` are constant text columns, such as the business key."""
     return counts.select(
         run_ts.alias("run_ts"),
         "rows_in",
         "rows_out",
-        (F.col("rows_in") - F.col("rows_out")).alias("duplicates_removed"),
+        (F.col("rows_in") - F.col("rows_out") - _malformed_rows(counts)).alias("duplicates_removed"),
+        *(["rows_malformed"] if "rows_malformed" in counts.columns else []),
         *[F.lit(text).alias(name) for name, text in labels.items()],
     )
 

@@ -117,27 +117,67 @@ def scd2_stage(changes: DataFrame, spec: EntitySpec, at: Column) -> DataFrame:
     return expire.unionByName(insert)
 
 
-def scd2_expire(dim: DataFrame, keys: DataFrame, spec: EntitySpec, at: Column) -> DataFrame:
-    """Close the current row of every key in ``keys``. Only current rows enter the join, history passes by."""
-    hit = keys.select(spec.key).distinct().withColumn("_hit", F.lit(True))
-    current = current_rows(dim).join(hit, spec.key, "left")
-    rest = [c for c in spec.columns if c not in ("is_current", "end_date")]
-    touched = current.select(
-        *rest,
-        F.col("_hit").isNull().alias("is_current"),
-        F.when(F.col("_hit"), at).otherwise(F.col("end_date")).alias("end_date"),
+def scd2_next(golden: DataFrame, dim: DataFrame, spec: EntitySpec, at: Column) -> DataFrame:
+    """(op, dimension columns): what becomes of the current rows under a golden master, in one full join by key.
+
+    A key that did not change, or vanished from the master, keeps its row (``keep``). A changed one gives two rows: its
+    version closed (``expire``) and the next one open (``insert``). A new one opens its first version. History does not
+    enter the join.
+    """
+    old = current_rows(dim).select(F.col(spec.key).alias("_old_key"), F.struct(*spec.columns).alias("old"))
+    new = with_hash_diff(golden, spec)
+    new = new.select(F.col(spec.key).alias("_new_key"), F.struct(*new.columns).alias("new"))
+    paired = old.join(new, F.col("_old_key") == F.col("_new_key"), "full")
+
+    found, known = F.col("_new_key").isNotNull(), F.col("_old_key").isNotNull()
+    moved = found & known & (F.col("new.hash_diff") != F.col("old.hash_diff"))
+    version = F.coalesce(F.col("old.version_number"), F.lit(0)) + 1
+    opened = {
+        spec.surrogate: surrogate_key(f"new.{spec.key}", at, version),
+        "version_number": version,
+        "is_current": F.lit(True),
+        "start_date": at,
+        "end_date": F.lit(None).cast("timestamp_ntz"),
+    }
+    closed = {"is_current": F.lit(False), "end_date": at}
+
+    def row(op: str, side: str, changes: dict[str, Column]) -> Column:
+        return F.struct(
+            F.lit(op).alias("op"), *[changes.get(c, F.col(f"{side}.{c}")).alias(c) for c in spec.columns]
+        )
+
+    rows = F.array_compact(
+        F.array(
+            F.when(known & ~moved, row("keep", "old", {})),
+            F.when(moved, row("expire", "old", closed)),
+            F.when(moved | ~known, row("insert", "new", opened)),
+        )
     )
-    return dim.filter("NOT is_current").select(*spec.columns).unionByName(touched.select(*spec.columns))
+    return paired.select(F.inline(rows))
 
 
-def scd2_merge(dim: DataFrame, staged: DataFrame, spec: EntitySpec, at: Column) -> DataFrame:
-    """Apply staged rows: expire rows close the current version, insert rows open the next one.
+def scd2_expire(dim: DataFrame, golden: DataFrame, spec: EntitySpec, at: Column) -> DataFrame:
+    """The dimension with the versions that a golden master replaces closed, before new ones are opened."""
+    rest = scd2_next(golden, dim, spec, at).filter("op <> 'insert'").drop("op")
+    return dim.filter("NOT is_current").select(*spec.columns).unionByName(rest)
 
-    Keys without a staged row, among them those that vanished from the master, stay as they are.
-    """
-    closing = staged.filter("op = 'expire'").select(F.col("merge_key").alias(spec.key))
-    opening = staged.filter("op = 'insert'")
-    return scd2_expire(dim, closing, spec, at).unionByName(_open_version(opening, spec, at))
+
+def scd2_merge(dim: DataFrame, golden: DataFrame, spec: EntitySpec, at: Column) -> DataFrame:
+    """The dimension brought up to a golden master. Closed rows pass by."""
+    current = scd2_next(golden, dim, spec, at).drop("op")
+    return dim.filter("NOT is_current").select(*spec.columns).unionByName(current)
+
+
+def scd2_as_of(dim: DataFrame, spec: EntitySpec, at: Column) -> DataFrame:
+    """The dimension as it was at a time, told from its validity dates: rows that began by then, open where they had not
+    ended yet."""
+    ended = F.col("end_date") <= at
+    return dim.filter(F.col("start_date") <= at).select(
+        *[c for c in spec.columns if c not in ("is_current", "start_date", "end_date")],
+        (~F.coalesce(ended, F.lit(False))).alias("is_current"),
+        "start_date",
+        F.when(ended, F.col("end_date")).alias("end_date"),
+    ).select(*spec.columns)
 
 
 def scd2_audit(staged: DataFrame, golden_rows: Column, spec: EntitySpec, run_ts: Column) -> DataFrame:

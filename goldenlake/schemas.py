@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-# Types that arriving trips are cast to. "time" keeps either Spark timestamp type and parses text.
+# Types that arriving trips are cast to. "time" keeps either Spark timestamp type and parses text.
 TRIP_TYPES = {
     "vendorid": "int",
     "tpep_pickup_datetime": "time",
@@ -16,8 +16,10 @@ TRIP_TYPES = {
 }
 TRIP_COLUMNS = tuple(TRIP_TYPES)
 
+# What identifies a trip.
 TRIP_KEY = ("vendorid", "tpep_pickup_datetime", "pulocationid")
 
+# The columns of processed trips, in order.
 PROCESSED_COLUMNS = (
     "vendorid",
     "pulocationid",
@@ -33,7 +35,7 @@ PROCESSED_COLUMNS = (
     "speed_mph",
 )
 
-# Fields that a complete fact row must carry.
+# Fields that a complete fact row must carry.
 REQUIRED_FACT_FIELDS = ("vendor_key", "pickup_zone_key", "trip_date", "fare_amount", "total_amount")
 
 COMMIT_SCHEMA = (
@@ -41,13 +43,19 @@ COMMIT_SCHEMA = (
     "rows_expired bigint, rows_current bigint, metadata string"
 )
 
+# One row of a dated table's record: a date, the rows a run left of it and their fingerprint.
+DATES_SCHEMA = "part date, rows bigint, content string, run_ts timestamp_ntz"
+
+# One row of a run's ledger: a step that has ended.
+STEP_SCHEMA = "step int, name string, rows_in bigint, rows_out bigint, status string"
+
 SCD2_AUDIT_SCHEMA = (
     "run_id string, run_ts timestamp_ntz, rows_in_golden bigint, changed_input_rows bigint, changed_keys bigint, "
     "rows_inserted bigint, rows_expired bigint, note string, commit_version int, commit_operation string, "
     "commit_ts timestamp_ntz, commit_metadata string, source_path string, target_path string"
 )
 
-# Serving tables: target column -> source column, in table order.
+# Fixed values. Serving tables: target column -> source column, in table order.
 ZONE_DIM = {
     "zone_key": "zone_key",
     "location_id": "locationid",

@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 # A cluster sets its own partition counts and memory; these are the settings the results or plans depend on.
 REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",  # sums and casts that overflow raise
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
@@ -31,6 +32,7 @@ def local_session(cpus: str | int = "*", app: str = "goldenlake", **conf: str) -
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", "16")  # listing folders, a task each otherwise
     )
     for key, value in {**REQUIRED_CONF, **conf}.items():
         builder = builder.config(key, value)

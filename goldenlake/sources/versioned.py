@@ -12,22 +12,14 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from goldenlake.layout import Run
 from goldenlake.operators.quality import require_keys
-from goldenlake.operators.scd2 import (
-    EntitySpec,
-    scd2_audit,
-    scd2_changes,
-    scd2_initial,
-    scd2_merge,
-    scd2_stage,
-)
+from goldenlake.operators.scd2 import EntitySpec, scd2_next
 from goldenlake.schemas import COMMIT_SCHEMA, SCD2_AUDIT_SCHEMA
 from goldenlake.sources.readers import read_if_exists
-from goldenlake.sources.writers import overwrite
 
 
 class VersionedTable:
@@ -74,73 +66,68 @@ class VersionedTable:
 
     # -- writing
 
-    def _commit(self, rows: DataFrame, commit: Row) -> None:
-        sliced = rows.withColumn("slice", F.when(F.col("is_current"), "current").otherwise("closed"))
-        sliced.write.mode("overwrite").partitionBy("slice").parquet(f"{self.path}/rows/run_id={commit.run_id}")
-        log = self.spark.createDataFrame([commit], COMMIT_SCHEMA)
-        log.coalesce(1).write.mode("append").json(f"{self.path}/commits")
+    def _audit_of(self, commit: Row, run: Run, source: str) -> DataFrame:
+        """The audit row that was returned when ``commit`` was made."""
+        told = json.loads(commit.metadata)
+        counts = (told["rows_in_golden"], commit.rows_inserted, told["changed_keys"], commit.rows_inserted, commit.rows_expired)
+        return self._audit(run, counts, told["action"], commit, source)
+
+    def _audit(self, run: Run, counts: tuple[int, ...], note: str, commit: Row, source: str) -> DataFrame:
+        facts = (commit.version, commit.operation, commit.run_ts, commit.metadata)
+        row = (run.run_id, run.clock, *counts, note, *facts, source, self.path)
+        return self.spark.createDataFrame([row], SCD2_AUDIT_SCHEMA)
 
     def upsert(self, golden: DataFrame, run: Run, source: str = "") -> DataFrame:
         """Bring the dimension up to a golden master and return the audit row.
 
-        The staged changes are written once; counts, the no-change test and the merge all read them from there.
+        Current rows and master are joined once, and what comes of it is written once, to the run's own folder; rows are
+        counted as they are written. A run without changes leaves no commit, and its folder is never read. A run that is
+        already committed is not repeated: it gets the audit that it got then.
         """
         spec = self.spec
         # An empty log on first use, so that a missing one is always an error to a reader.
         self.spark.createDataFrame([], COMMIT_SCHEMA).write.mode("ignore").json(f"{self.path}/commits")
         log = self.history().agg(
-            F.max_by(F.struct("*"), "version").alias("last"), F.count_if(F.col("run_id") == run.run_id).alias("repeats")
+            F.max_by(F.struct("*"), "version").alias("last"),
+            F.max(F.when(F.col("run_id") == run.run_id, F.struct("*"))).alias("own"),
         ).first()
-        if log.repeats:
-            raise ValueError(f"run {run.run_id} is already committed to {self.path}")
+        if log.own is not None:
+            return self._audit_of(log.own, run, source)
         before = log.last
         in_golden = require_keys(golden, spec.key)
-        if before is None:
-            staged = None
-            audit = Row(run_ts=run.clock, rows_in_golden=in_golden, changed_input_rows=in_golden,
-                        changed_keys=in_golden, rows_inserted=in_golden, rows_expired=0, note="first_run")
-        else:
-            current = self._current_as_of(before)
-            changes = scd2_changes(golden, current, spec)
-            staged = overwrite(scd2_stage(changes, spec, run.at), f"{self.path}/stage/run_id={run.run_id}")
-            audit = scd2_audit(staged, F.lit(in_golden).cast("bigint"), spec, run.at).first()
-
-        commit = before
-        if audit.changed_input_rows:
-            details = {
-                "action": audit.note,
-                "changed_keys": audit.changed_keys,
-                "rows_in_golden": in_golden,
-                "source_path": source,
-                "target_path": self.path,
-            }
-            commit = Row(
-                version=0 if before is None else before.version + 1,
-                run_id=run.run_id,
-                run_ts=run.clock,
-                operation="WRITE" if before is None else "MERGE",
-                rows_inserted=audit.rows_inserted,
-                rows_expired=audit.rows_expired,
-                rows_current=(0 if before is None else before.rows_current) + audit.rows_inserted - audit.rows_expired,
-                metadata=json.dumps(details, sort_keys=True),
-            )
-            if before is None:
-                rows = scd2_initial(golden, spec, run.at)
-            else:
-                rows = scd2_merge(current, staged, spec, run.at)
-            self._commit(rows, commit)
-        return self.spark.createDataFrame(
-            [
-                (
-                    run.run_id,
-                    *audit,
-                    commit.version,
-                    commit.operation,
-                    commit.run_ts,
-                    commit.metadata,
-                    source,
-                    self.path,
-                )
-            ],
-            SCD2_AUDIT_SCHEMA,
+        empty = self.spark.createDataFrame([], spec.ddl)
+        current = empty if before is None else self._current_as_of(before)
+        seen = Observation()
+        ops = {op: F.count_if(F.col("op") == op).alias(op) for op in ("insert", "expire")}
+        sliced = (
+            scd2_next(golden, current, spec, run.at)
+            .observe(seen, *ops.values())
+            .withColumn("slice", F.when(F.col("is_current"), "current").otherwise("closed"))
+            .drop("op")
+        )
+        sliced.write.mode("overwrite").partitionBy("slice").parquet(f"{self.path}/rows/run_id={run.run_id}")
+        inserted, expired = seen.get["insert"], seen.get["expire"]
+        counts = (in_golden, inserted, inserted, inserted, expired)
+        if before is not None and not inserted:
+            return self._audit(run, counts, "noop_no_changes", before, source)
+        note = "first_run" if before is None else "merge_scd2"
+        details = {
+            "action": note,
+            "changed_keys": inserted,
+            "rows_in_golden": in_golden,
+            "source_path": source,
+            "target_path": self.path,
+        }
+        commit = Row(
+            version=0 if before is None else before.version + 1,
+            run_id=run.run_id,
+            run_ts=run.clock,
+            operation="WRITE" if before is None else "MERGE",
+            rows_inserted=inserted,
+            rows_expired=expired,
+            rows_current=(0 if before is None else before.rows_current) + inserted - expired,
+            metadata=json.dumps(details, sort_keys=True),
         )
+        line = self.spark.createDataFrame([commit], COMMIT_SCHEMA)
+        line.coalesce(1).write.mode("append").json(f"{self.path}/commits")
+        return self._audit(run, counts, note, commit, source)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from goldenlake.layout import Run
 
@@ -14,40 +13,32 @@ def overwrite(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def snapshot(df: DataFrame, path: str, run: Run) -> None:
-    """Add this run's copy of a dataset. Repeating a run replaces its own copy and no other."""
-    df.write.mode("overwrite").parquet(f"{path}/run_id={run.run_id}")
+def run_folder(path: str, run: Run) -> str:
+    return f"{path}/run_id={run.run_id}"
 
 
-# Partition columns a fact may be laid out by, as SQL over its own columns. Days suit facts with many rows a day.
-FACT_PARTITIONS = {"trip_date": "trip_date", "trip_month": "CAST(trunc(trip_date, 'MM') AS date)"}
+def snapshot(df: DataFrame, path: str, run: Run) -> DataFrame:
+    """Add this run's copy of a dataset. Repeating a run replaces its own copy and no other, so readers of earlier copies
+    are not disturbed."""
+    return overwrite(df, run_folder(path, run))
 
 
-def write_fact(df: DataFrame, path: str, partition: str = "trip_date", changed_only: bool = False) -> DataFrame:
-    """Write by date or month. Rebalancing gives a partition as many tasks as its size needs, so a hot date does not end
-    up in one task and a small one not in many files. ``changed_only`` leaves partitions without new rows in place."""
-    placed = df.withColumn(partition, F.expr(FACT_PARTITIONS[partition]))
-    (
-        placed.hint("rebalance", partition)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic" if changed_only else "static")
-        .partitionBy(partition)
-        .parquet(path)
-    )
-    return df.sparkSession.read.schema(placed.schema).parquet(path).select(*df.columns)
+class NotOneRow(ValueError):
+    pass
 
 
-def copy_fact(df: DataFrame, path: str, partition: str = "trip_date") -> DataFrame:
-    """Copy a fact that is already laid out by the same partition: tasks read few partitions each, so no shuffle."""
-    placed = df.withColumn(partition, F.expr(FACT_PARTITIONS[partition]))
-    placed.sortWithinPartitions(partition).write.mode("overwrite").partitionBy(partition).parquet(path)
-    return df.sparkSession.read.schema(placed.schema).parquet(path).select(*df.columns)
+def one_row(df: DataFrame) -> DataFrame:
+    """``df``, which must have exactly one row, as a local frame of the same schema."""
+    rows = df.take(2)
+    if len(rows) != 1:
+        raise NotOneRow(f"expected one row, found {'more' if rows else 'none'}")
+    return df.sparkSession.createDataFrame(rows, df.schema)
 
 
-def append_audit(audit: DataFrame, path: str) -> DataFrame:
-    """Append a one-row audit frame as JSON and return that row as a local frame with the same schema."""
-    local = audit.sparkSession.createDataFrame(audit.collect(), audit.schema)
-    local.coalesce(1).write.mode("append").json(path)
+def write_audit(audit: DataFrame, path: str, run: Run) -> DataFrame:
+    """Add this run's one-row audit as JSON and return the row as a local frame. Repeating a run replaces its own row."""
+    local = one_row(audit)
+    local.coalesce(1).write.mode("overwrite").json(run_folder(path, run))
     return local
 
 

@@ -16,8 +16,7 @@ def golden(spark, data):
 
 
 def step(spark, dim, data, at):
-    staged = s.scd2_stage(s.scd2_changes(golden(spark, data), dim, s.ZONES), s.ZONES, timestamp_literal(at))
-    return s.scd2_merge(dim, staged, s.ZONES, timestamp_literal(at))
+    return s.scd2_merge(dim, golden(spark, data), s.ZONES, timestamp_literal(at))
 
 
 def versions(dim):
@@ -94,10 +93,31 @@ def test_history_does_not_enter_the_merge_join(spark, tmp_path, plan_of, set_con
     dim = s.scd2_initial(golden(spark, {1: ("A", "X")}), s.ZONES, timestamp_literal(T1))
     step(spark, dim, {1: ("B", "X")}, T2).write.partitionBy("is_current").parquet(str(tmp_path / "dim"))
     stored = spark.read.schema(s.ZONES.ddl).parquet(str(tmp_path / "dim")).select(*s.ZONES.columns)
-    keys = spark.createDataFrame([(1,)], "locationid int")
-    plan = plan_of(s.scd2_expire(stored, keys, s.ZONES, timestamp_literal(T3)))
-    history = plan.split("Union")[1].split("SortMergeJoin")[0]
+    plan = plan_of(s.scd2_merge(stored, golden(spark, {1: ("C", "X")}), s.ZONES, timestamp_literal(T3)))
+    history = plan.split("Union")[1].split("SortMergeJoin")[0].split("Generate")[0]
     assert "PartitionFilters: [isnotnull(is_current" in history and "Exchange" not in history
+    # Current rows and master meet once.
+    assert plan.count("SortMergeJoin") == 1 and plan.count("FileScan") == 2
+
+
+def test_next_versions_tell_what_happened(spark):
+    dim = s.scd2_initial(golden(spark, {1: ("A", "X"), 2: ("B", "X"), 4: ("D", "X")}), s.ZONES, timestamp_literal(T1))
+    after = s.scd2_next(golden(spark, {1: ("A1", "X"), 2: ("B", "X"), 3: ("C", "X")}), dim, s.ZONES, timestamp_literal(T2))
+    assert sorted((r.op, r.locationid, r.version_number, r.is_current) for r in after.collect()) == [
+        ("expire", 1, 1, False), ("insert", 1, 2, True), ("insert", 3, 1, True), ("keep", 2, 1, True), ("keep", 4, 1, True),
+    ]
+    nothing = s.scd2_next(golden(spark, {}), dim.limit(0), s.ZONES, timestamp_literal(T2))
+    assert nothing.isEmpty()
+
+
+def test_dimension_as_of_a_time(spark):
+    states, dim = {}, None
+    for at, data in ((T1, {1: ("A", "X"), 2: ("B", "X")}), (T2, {1: ("A1", "X"), 3: ("C", "X")}), (T3, {1: ("A", "X"), 2: ("Q", "X")})):
+        dim = s.scd2_initial(golden(spark, data), s.ZONES, timestamp_literal(at)) if dim is None else step(spark, dim, data, at)
+        states[at] = rows(dim)
+    for at, state in states.items():
+        assert rows(s.scd2_as_of(dim, s.ZONES, timestamp_literal(at))) == state
+    assert s.scd2_as_of(dim, s.ZONES, timestamp_literal("2023-01-01 00:00:00")).isEmpty()
 
 
 def test_random_batches_against_brute_force(spark):

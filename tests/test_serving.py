@@ -1,10 +1,12 @@
 import json
+from datetime import date
+from decimal import Decimal
 from pathlib import Path
 
 import pytest
 from helpers import rows, trip, trips
 from pyspark.sql import functions as F
-from test_fact import T1, dims, processed
+from test_fact import T1, T2, dims, processed
 
 from goldenlake.layout import Layout, Run
 from goldenlake.operators import quality as q
@@ -13,8 +15,11 @@ from goldenlake.operators.fact import conform_fact
 from goldenlake.operators.trips import process_trips
 from goldenlake.schemas import FACT_TRIPS, VENDOR_DIM, ZONE_DIM
 from goldenlake.sources import catalog
-from goldenlake.sources.readers import read_text_table
-from goldenlake.sources.writers import append_audit, export_csv, overwrite, snapshot, write_fact
+from goldenlake.sources.readers import read_text_table, well_formed
+from goldenlake.sources.writers import NotOneRow, export_csv, overwrite, snapshot, write_audit
+
+
+T3 = "2024-03-01 00:00:00"
 
 
 @pytest.fixture
@@ -35,12 +40,26 @@ def test_average_of_unknown_fares_is_unknown(spark, fact):
     assert {r.avg_fare for r in v.agg_daily_zone_revenue(unknown).collect()} == {None}
 
 
-def test_sums_do_not_depend_on_the_partitioning(spark):
-    df = spark.range(10_000).select(
-        F.lit("2024-01-01").cast("date").alias("trip_date"), F.round(F.rand(3) * 100, 4).alias("total_amount")
+def test_sums_are_exact_whatever_the_partitioning(spark):
+    """Amounts up to ten million add up to more than a double's digits; as decimals they give the same digits always."""
+    rows_of = spark.range(20_000_000, numPartitions=8).select(
+        F.lit("2024-01-01").cast("date").alias("trip_date"),
+        ((F.pmod(F.xxhash64("id"), F.lit(10**11)) + 1) / F.lit(10_000.0)).alias("total_amount"),
+        F.lit(1).alias("key"),
     )
-    df = spark.createDataFrame(df.collect(), df.schema)
-    assert len({v.daily_revenue(df.repartition(n)).first().revenue for n in (1, 3, 7)}) == 1
+    want = rows_of.agg(F.sum((F.round(F.col("total_amount") * 10_000)).cast("long")).alias("n")).first().n
+    found = {v.daily_revenue(rows_of.coalesce(n) if n < 8 else rows_of.repartition(n)).first().revenue for n in (1, 3, 7, 16)}
+    assert found == {Decimal(want).scaleb(-4)}
+
+
+def test_numbers_that_do_not_fit_raise(spark):
+    for bad in (1e14, -1e15, float("nan"), float("inf")):
+        with pytest.raises(Exception, match="does not fit"):
+            spark.createDataFrame([(1.0,), (bad,)], "x double").agg(v.exact_sum("x")).collect()
+    fits = spark.createDataFrame([(0.1,), (0.2,), (None,), (123456.789012,)], "x double")
+    row = fits.agg(v.exact_sum("x", 6).alias("s"), v.exact_avg("x", 6).alias("a"), v.exact_sum("x", 2).alias("m")).first()
+    assert (row.s, row.m) == (Decimal("123457.089012"), Decimal("123457.09")) and row.a == 123457.089012 / 3
+    assert fits.filter("x IS NULL").agg(v.exact_sum("x").alias("s")).first().s is None
 
 
 def test_metric_points(spark, fact):
@@ -70,7 +89,7 @@ def frames(spark, fact):
 
 
 def documents(folder):
-    return [json.loads(line) for f in Path(folder).glob("*.json") for line in f.read_text().splitlines()]
+    return [json.loads(line) for f in Path(folder).rglob("*.json") for line in f.read_text().splitlines()]
 
 
 def test_publish_swaps_only_after_the_check(spark, fact, tmp_path):
@@ -84,8 +103,9 @@ def test_publish_swaps_only_after_the_check(spark, fact, tmp_path):
     assert rows(spark.table(f"{db}.agg_daily_zone_revenue")) == rows(v.agg_daily_zone_revenue(sound))
 
     with pytest.raises(q.GateFailed, match="zone orphan rate 0.4000"):
-        catalog.publish(spark, layout, Run("two", T1), frames(spark, fact), db)
+        catalog.publish(spark, layout, Run("two", T2), frames(spark, fact), db)
     assert spark.table(f"{db}.fact_trips").count() == 3  # still the published one
+    assert spark.table(f"{db}.fact_trips__runs").count() == 8
 
     docs = {d["status"]: d for d in documents(tmp_path / "audit" / "load")}
     assert docs["SUCCESS"]["counts"] == {"zone_dim": 4, "vendor_dim": 1, "fact_trips": 3}
@@ -95,67 +115,127 @@ def test_publish_swaps_only_after_the_check(spark, fact, tmp_path):
     points = {(p["name"], p["value"]) for p in documents(tmp_path / "audit" / "metric_points")}
     assert {("PipelineDQStatus", 1.0), ("PipelineDQStatus", 0.0)} <= points
 
-    catalog.publish(spark, layout, Run("three", T1), frames(spark, fact), db, max_orphan_rate=0.5, partition="trip_month")
-    spark.catalog.refreshTable(f"{db}.fact_trips")
+    third = Run("three", T3)
+    catalog.publish(spark, layout, third, frames(spark, fact), db, max_orphan_rate=0.5)
     assert spark.table(f"{db}.fact_trips").count() == 5
+    assert rows(spark.table(f"{db}.agg_daily_zone_revenue")) == rows(v.agg_daily_zone_revenue(fact))
+    catalog.publish(spark, layout, third, frames(spark, fact), db, max_orphan_rate=0.5)  # again: the same
+    assert spark.table(f"{db}.fact_trips").count() == 5 and spark.table(f"{db}.fact_trips__runs").count() == 13
 
 
-def test_register_takes_over_schemas_and_marks_lost_folders(spark, tmp_path):
-    db, path = "register_test", tmp_path / "curated"
-    spark.range(3).write.parquet(str(path))
-    assert catalog.register_curated(spark, db, {"things": str(path)}) == [f"{db}.curated_things"]
-    spark.range(3).withColumn("more", F.lit(1)).write.mode("overwrite").parquet(str(path))
-    catalog.register_curated(spark, db, {"things": str(path)})
-    assert spark.table(f"{db}.curated_things").columns == ["id", "more"]
-    path.rename(tmp_path / "gone")
-    assert catalog.register_curated(spark, db, {"things": str(path)}) == []
-    properties = spark.sql(f"SHOW TBLPROPERTIES {db}.curated_things").collect()
-    assert ("deprecated", "true") in {tuple(p) for p in properties}
+def test_all_serving_tables_change_at_once(spark, fact, tmp_path, monkeypatch, plan_of):
+    """Whatever a reader asks while a publish is under way, it sees tables of one run."""
+    layout, db = Layout(str(tmp_path)), "swap_test"
+    sound = fact.filter("NOT zone_orphan_flag")
+    names = ("zone_dim", "vendor_dim", "fact_trips", *catalog.AGGREGATES)
+
+    def seen():
+        return tuple(tuple(rows(spark.table(f"{db}.{n}"))) for n in names)
+
+    catalog.publish(spark, layout, Run("one", T1), frames(spark, sound), db)
+    states, before = [], seen()
+    original = catalog.one_row, catalog._attach_aggregate, catalog._view, catalog.point_to
 
+    def watched(fn):
+        def run(*args):
+            states.append(seen())
+            out = fn(*args)
+            states.append(seen())
+            return out
 
-def test_revenue_view(spark, fact, tmp_path):
-    write_fact(fact, str(tmp_path / "fact"))
-    (table,) = catalog.register_curated(spark, "view_test", {"fact_trips": str(tmp_path / "fact")})
-    view = catalog.create_revenue_view(spark, "view_test", table)
-    assert rows(spark.table(view)) == rows(v.daily_revenue(fact))
+        return run
 
+    for fn in original:
+        monkeypatch.setattr(catalog, fn.__name__, watched(fn))
+    catalog.publish(spark, layout, Run("two", T2), frames(spark, fact), db, max_orphan_rate=0.5)
+    after = seen()
+    assert before != after and set(states) == {before, after} and states[-2] == before and states[-1] == after
 
-def test_fact_partitions(spark, tmp_path, plan_of):
+    # One run's folder is scanned, also of the aggregates.
+    plan = plan_of(spark.table(f"{db}.fact_trips"))
+    assert "PartitionFilters: [isnotnull(run_id" in plan and "= two)" in plan and "(1 paths)" in plan
+    assert "dynamicpruning" in plan_of(spark.table(f"{db}.agg_daily_vendor_perf"))
+
+
+def test_serving_fact_is_grouped_and_joined_without_a_shuffle(spark, fact, tmp_path, plan_of, set_conf):
+    layout, db = Layout(str(tmp_path)), "bucket_test"
+    catalog.publish(spark, layout, Run("one", T1), frames(spark, fact), db, max_orphan_rate=0.5, buckets=4)
+    table = spark.table(f"{db}.fact_trips")
+    per_vendor = table.groupBy("trip_date", "vendorid").agg(v.exact_sum("total_amount").alias("revenue"))
+    plan = plan_of(per_vendor)
+    assert "Exchange" not in plan and "Bucketed: true" in plan
+    set_conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    plan = plan_of(table.join(per_vendor, ["trip_date", "vendorid"]))
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    assert rows(per_vendor) == rows(v.agg_daily_vendor_perf(fact).select("trip_date", "vendor_code", "total_revenue"))
+
+
+def test_aggregates_are_refilled_by_month(spark, tmp_path):
+    """Only months of changed dates are computed and written; months that lost their trips vanish."""
     zones, vendors = dims(spark)
+    layout, db = Layout(str(tmp_path)), "refill_test"
 
-    def fact_of(*data):
+    def fact_of(days):
+        data = [trip(pickup=f"{d} 10:00:00", dropoff=f"{d} 11:00:00", total=t) for d, t in days.items()]
         return conform_fact(process_trips(trips(spark, *data)), zones, vendors)
 
-    day2 = {"pickup": "2024-01-02 10:00:00", "dropoff": "2024-01-02 11:00:00"}
-    path = str(tmp_path / "fact")
-    written = write_fact(fact_of(trip(), trip(**day2)), path)
-    assert {p.name for p in Path(path).glob("trip_date=*")} == {"trip_date=2024-01-01", "trip_date=2024-01-02"}
-    assert "PartitionFilters: [isnotnull(trip_date" in plan_of(written.filter("trip_date = DATE '2024-01-02'"))
-    write_fact(fact_of(trip(total=99.0, **day2)), path, changed_only=True)
-    assert rows(spark.read.parquet(path).select("total_amount")) == [(25.0,), (99.0,)]
-    write_fact(fact_of(trip(**day2)), path)
-    assert spark.read.parquet(path).count() == 1
+    def publish(run, days, changed):
+        given = {"zone_dim": zones, "vendor_dim": vendors, "fact_trips": fact_of(days)}
+        catalog.publish(spark, layout, run, given, db, dates=[date.fromisoformat(d) for d in changed])
+        assert rows(spark.table(f"{db}.agg_daily_vendor_perf")) == rows(v.agg_daily_vendor_perf(fact_of(days)))
+
+    days = {"2024-01-05": 1.0, "2024-01-06": 2.0, "2024-02-05": 3.0, "2024-03-05": 4.0}
+    publish(Run("one", T1), days, days)
+    files = {str(f) for f in (tmp_path / "export" / "agg_daily_vendor_perf" / "rows").rglob("*.parquet")}
+    days = {"2024-01-05": 1.0, "2024-01-06": 9.0, "2024-02-05": 3.0}
+    publish(Run("two", T2), days, ["2024-01-06", "2024-03-05"])
+    after = {str(f) for f in (tmp_path / "export" / "agg_daily_vendor_perf" / "rows").rglob("*.parquet")}
+    assert files <= after and {f.split("trip_month=")[1][:10] for f in after - files} == {"2024-01-01"}
+    publish(Run("three", T3), days, [])
 
 
-def test_hot_date_is_written_by_several_tasks(spark, fact, tmp_path, set_conf):
-    set_conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="20KB", spark__sql__files__maxPartitionBytes="1MB")
-    one = fact.filter("vendorid = 1 AND pickup_location_id = 10")
-    copies = one.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(20_000))))
-    hot = overwrite(copies.withColumn("trip_distance", F.rand(5)).drop("n").repartition(4), str(tmp_path / "source"))
-    assert write_fact(hot, str(tmp_path / "hot")).count() == 20_000
-    assert len(list((tmp_path / "hot").glob("trip_date=*/*.parquet"))) > 1
+def test_register_updates_tables_in_place(spark, tmp_path, monkeypatch):
+    db, path = "register_test", tmp_path / "curated"
+
+    def fill(*days, **columns):
+        df = spark.createDataFrame([(d, n) for n, d in enumerate(days)], "day string, n int").withColumn("day", F.to_date("day"))
+        df.withColumns(columns).write.mode("overwrite").partitionBy("day").parquet(str(path))
+        (table,) = catalog.register_curated(spark, db, {"things": str(path)})
+        return spark.table(table)
+
+    assert rows(fill("2024-01-01", "2024-01-02").select("n")) == [(0,), (1,)]
+    # From now on the table may not be dropped or made anew.
+    statements, original = [], spark.sql
+    monkeypatch.setattr(spark, "sql", lambda text, *more: statements.append(text) or original(text, *more))
+    table = fill("2024-01-02", "2024-01-03", more=F.lit(1.5))
+    assert table.columns == ["n", "more", "day"] and rows(table.select(F.col("day").cast("string"), "more")) == [
+        ("2024-01-02", 1.5), ("2024-01-03", 1.5),
+    ]
+    assert not any(word in s for s in statements for word in ("DROP TABLE", "CREATE TABLE"))
+    path.rename(tmp_path / "gone")
+    assert catalog.register_curated(spark, db, {"things": str(path)}) == []
+    assert ("deprecated", "true") in {tuple(p) for p in spark.sql(f"SHOW TBLPROPERTIES {db}.curated_things").collect()}
+    (tmp_path / "gone").rename(path)
+    assert catalog.register_curated(spark, db, {"things": str(path)}) == [f"{db}.curated_things"]
+    assert "deprecated" not in {p.key for p in spark.sql(f"SHOW TBLPROPERTIES {db}.curated_things").collect()}
+    monkeypatch.undo()
+    changed = fill("2024-01-02", n=F.lit("text"))  # a type can't be changed in place
+    assert rows(changed.select("n")) == [("text",)]
 
 
 def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([(1, "a"), (2, None)], "k int, v string")
-    snapshot(df, str(tmp_path / "backup"), Run("one", T1))
-    snapshot(df, str(tmp_path / "backup"), Run("two", T1))
-    snapshot(df, str(tmp_path / "backup"), Run("two", T1))
+    one, two = Run("one", T1), Run("two", T1)
+    for run in (one, two, two):
+        assert rows(snapshot(df, str(tmp_path / "backup"), run)) == rows(df)
     assert spark.read.parquet(str(tmp_path / "backup")).groupBy("run_id").count().filter("count <> 2").isEmpty()
     assert rows(overwrite(df, str(tmp_path / "o"))) == rows(df)
-    for _ in range(2):
-        append_audit(df.agg(F.count("*").alias("n")), str(tmp_path / "audit"))
-    assert documents(tmp_path / "audit") == [{"n": 2}, {"n": 2}]
+    for run in (one, two, two):
+        write_audit(df.agg(F.count("*").alias("n")), str(tmp_path / "audit"), run)
+    assert rows(spark.read.json(str(tmp_path / "audit"))) == [(2, "one"), (2, "two")]
+    for bad in (df, df.limit(0)):
+        with pytest.raises(NotOneRow):
+            write_audit(bad, str(tmp_path / "audit"), one)
     export_csv(df.repartition(3), str(tmp_path / "csv"), single_file=True)
     assert len(list((tmp_path / "csv").glob("*.csv"))) == 1
-    assert rows(read_text_table(spark, str(tmp_path / "csv"), ["k", "v"])) == [("1", "a"), ("2", None)]
+    assert rows(well_formed(read_text_table(spark, str(tmp_path / "csv"), ["k", "v"]))) == [("1", "a"), ("2", None)]

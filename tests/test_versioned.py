@@ -56,8 +56,7 @@ def test_stored_equals_in_memory(spark, dim):
     dim.upsert(golden(spark, k1="A", k2="B"), RUNS[0])
     before = spark.createDataFrame(dim.read().collect(), s.ZONES.ddl)
     dim.upsert(golden(spark, k1="A2", k2="B", k3="C"), RUNS[1])
-    changes = s.scd2_changes(golden(spark, k1="A2", k2="B", k3="C"), before, s.ZONES)
-    merged = s.scd2_merge(before, s.scd2_stage(changes, s.ZONES, RUNS[1].at), s.ZONES, RUNS[1].at)
+    merged = s.scd2_merge(before, golden(spark, k1="A2", k2="B", k3="C"), s.ZONES, RUNS[1].at)
     assert rows(dim.read()) == rows(merged)
 
 
@@ -80,10 +79,14 @@ def test_run_that_died_before_its_commit_is_invisible_and_can_be_repeated(spark,
     assert state(dim.read()) == [(1, 1, "A", False), (1, 2, "A2", True), (2, 1, "B", True)]
 
 
-def test_committed_run_cannot_be_written_again(spark, dim):
-    dim.upsert(golden(spark, k1="A"), RUNS[0])
-    with pytest.raises(ValueError, match="already committed"):
-        dim.upsert(golden(spark, k1="B"), RUNS[0])
+def test_committed_run_gets_the_audit_it_got(spark, dim):
+    audits = []
+    for run, key in ((RUNS[0], "A"), (RUNS[1], "B")):
+        audits.append(dim.upsert(golden(spark, k1=key), run, "there").first())
+    before = state(dim.read())
+    assert dim.upsert(golden(spark, k1="B"), RUNS[1], "there").first() == audits[1]
+    assert dim.upsert(golden(spark, k1="A"), RUNS[0], "there").first() == audits[0]
+    assert state(dim.read()) == before and dim.history().count() == 2
 
 
 def test_guards_stop_before_anything_is_committed(spark, dim):
