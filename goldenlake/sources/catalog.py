@@ -138,49 +138,30 @@ def register_curated(
     return registered
 
 
+#: Table property with the clock and id of the last run whose dates are attached.
+ATTACHED = "goldenlake.attached"
+
+
 def attach_dated(spark: SparkSession, name: str, table: DatedTable) -> str:
     """Register a dated table: each date is a partition whose location is the folder of the run that it lives in. Only
     dates that moved since the last call are touched."""
-    live = {r.part: r.run_id for r in table.live().select("part", "run_id").collect()}  # one row a date
-    data = table.schema()
-    placed = StructType([f for f in data if f.name != table.part]).add(table.part, data[table.part].dataType)
-    fresh = update_table(spark, name, placed, f"{table.path}/catalog", (table.part,))
-    known = _attached(spark, name) if not fresh else {}
+    live = {r.part: (str(r.run_ts), r.run_id) for r in table.live().collect()}  # one row a date
+    fresh = update_table(spark, name, table.schema(), f"{table.path}/catalog", (table.part,))
+    told = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}.get(ATTACHED)
+    last = ("", "") if told is None else tuple(told.split("|", 1))
     listed = set() if fresh else {date.fromisoformat(r[0].split("=")[1]) for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
     for part in sorted(listed - live.keys()):
         spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({table.part}='{part}')")
-    for part in sorted(p for p in live.keys() & listed if known.get(p) != live[p]):
-        spark.sql(f"ALTER TABLE {name} PARTITION ({table.part}='{part}') SET LOCATION '{table.folder(live[part], part)}'")
-    added = [f"PARTITION ({table.part}='{p}') LOCATION '{table.folder(live[p], p)}'" for p in sorted(live.keys() - listed)]
+    for part in sorted(p for p in live.keys() & listed if live[p] > last):
+        spark.sql(f"ALTER TABLE {name} PARTITION ({table.part}='{part}') SET LOCATION '{table.folder(live[part][1], part)}'")
+    added = [f"PARTITION ({table.part}='{p}') LOCATION '{table.folder(live[p][1], p)}'" for p in sorted(live.keys() - listed)]
     for first in range(0, len(added), 500):
         spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(added[first : first + 500])}")
-    runs: dict[str, list[str]] = {}
-    for part, run_id in live.items():
-        runs.setdefault(run_id, []).append(part.isoformat())
-    for old in [k for k in _properties(spark, name) if k.startswith(_RUN) and k[len(_RUN) :] not in runs]:
-        spark.sql(f"ALTER TABLE {name} UNSET TBLPROPERTIES IF EXISTS ('{old}')")
-    for run_id, parts in runs.items():
-        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{_RUN}{run_id}' = '{' '.join(sorted(parts))}')")
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{ATTACHED}' = '{'|'.join(max(live.values()))}')")
     spark.catalog.refreshTable(name)
     return name
 
 
-#: Table properties that tell which dates are attached to the folder of which run.
-_RUN = "goldenlake.run."
-
-
-def _properties(spark: SparkSession, name: str) -> dict[str, str]:
-    return {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
-
-
-def _attached(spark: SparkSession, name: str) -> dict[date, str]:
-    found = {}
-    for key, value in _properties(spark, name).items():
-        if key.startswith(_RUN):
-            found |= {date.fromisoformat(p): key[len(_RUN) :] for p in value.split()}
-    return found
-
-
 def create_revenue_view(spark: SparkSession, database: str, fact_table: str) -> str:
     name = f"{database}.curated_daily_revenue"
     spark.sql(

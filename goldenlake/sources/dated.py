@@ -46,7 +46,7 @@ def contents(df: DataFrame, part: str) -> DataFrame:
 
 
 def _latest(records: DataFrame) -> DataFrame:
-    last = F.max_by(F.struct("run_id", "rows", "content"), F.struct("run_ts", "run_id"))
+    last = F.max_by(F.struct("run_ts", "run_id", "rows", "content"), F.struct("run_ts", "run_id"))
     return records.groupBy("part").agg(last.alias("last")).select("part", "last.*")
 
 
@@ -75,7 +75,7 @@ class DatedTable:
         return self.records().filter(F.col("run_id") == run.run_id).select("part", "rows")
 
     def live(self) -> DataFrame:
-        """(part, run_id, rows, content) of the dates that hold rows."""
+        """(part, run_ts, run_id, rows, content) of the dates that hold rows."""
         return _latest(self.records()).filter("rows > 0")
 
     def read(self) -> DataFrame:

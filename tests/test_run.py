@@ -130,13 +130,14 @@ def test_second_run_writes_two_dates(spark, tmp_path):
 def test_moved_zone_touches_its_dates_only(spark, tmp_path):
     day2 = {"pickup": "2024-01-02 10:00:00", "dropoff": "2024-01-02 11:00:00"}
     first = Config(lake(spark, tmp_path, [trip(pu=1), trip(pu=2, **day2)], ZONES), Run("one", "2024-02-01 00:00:00"), database="moved_zone")
-    run_all(spark, first)
+    run_all(spark, first, STEPS[:7])
     lake(spark, tmp_path, [trip(pu=1), trip(pu=2, **day2)], [("1", "abc", None), ("2", "other", "na")])
     second = Config(first.layout, Run("two", "2024-03-01 00:00:00"), database="moved_zone")
-    run_all(spark, second)
-    assert [str(r.part) for r in fact_table(spark, second).touched(second.run).collect()] == ["2024-01-02"]
-    keys = spark.table("moved_zone.zone_dim").filter("is_current").select("location_id", "zone_key")
-    assert rows(spark.table("moved_zone.fact_trips").select("pickup_location_id", "pickup_zone_key")) == rows(keys)
+    run_all(spark, second, STEPS[:7])
+    table = fact_table(spark, second)
+    assert [str(r.part) for r in table.touched(second.run).collect()] == ["2024-01-02"]
+    keys = dimension(spark, second, "zones").current().select("locationid", "zone_key")
+    assert rows(table.read().select("pickup_location_id", "pickup_zone_key")) == rows(keys)
 
 
 def test_malformed_zone_lines_are_set_aside(spark, tmp_path):
