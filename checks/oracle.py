@@ -260,10 +260,19 @@ SELECT * FROM ({_initial(f"({_hashed('v_gold', 'vendorid', ('vendor_name',))})",
                          AT[1])})"""
 RELATIONS["lake_fact"] = f"SELECT {FACT} FROM ({_fact('t_processed', 'v_all')})"
 RELATIONS["lake_first"] = f"SELECT {FACT} FROM ({_fact('first_measured', 'v_all')})"
-RELATIONS["touched"] = """
+RELATIONS["fact_first"] = f"SELECT {FACT} FROM ({_fact('first_measured')})"
+
+
+def _touched(new: str, old: str) -> str:
+    """Dates whose rows differ."""
+    return f"""
 SELECT DISTINCT trip_date FROM (
-  (SELECT * FROM lake_fact EXCEPT ALL SELECT * FROM lake_first) UNION ALL
-  (SELECT * FROM lake_first EXCEPT ALL SELECT * FROM lake_fact))"""
+  (SELECT * FROM {new} EXCEPT ALL SELECT * FROM {old}) UNION ALL (SELECT * FROM {old} EXCEPT ALL SELECT * FROM {new}))"""
+
+
+MONTH = "CAST(date_trunc('month', trip_date) AS DATE)"
+RELATIONS["dates_touched"] = _touched("fact", "fact_first")
+RELATIONS["months_touched"] = f"SELECT DISTINCT {MONTH} AS trip_month FROM ({_touched('lake_fact', 'lake_first')})"
 RELATIONS["fact_v0"] = f"""
 SELECT vendorid AS vendor_code, pulocationid AS pickup_location_id, dolocationid AS dropoff_location_id, vendor_key,
        pickup_zone_key, trip_date, tpep_pickup_datetime, tpep_dropoff_datetime,
@@ -523,9 +532,12 @@ SELECT locationid, trim(zone) AS zone, nullif(trim(borough), '') AS borough FROM
     "zones_malformed": """
 SELECT locationid || ',' || zone || ',' || coalesce(borough, '') || ',more' AS line FROM z_raw1 WHERE length(zone) % 3 = 2""",
     "fact_incremental": "SELECT * FROM lake_fact",
-    "fact_dates_touched": "SELECT trip_date, count(*) AS rows FROM lake_fact WHERE trip_date IN (FROM touched) GROUP BY trip_date",
+    "fact_by_date": "SELECT * FROM fact",
+    "fact_dates_touched": "SELECT trip_date, count(*) AS rows FROM fact WHERE trip_date IN (FROM dates_touched) GROUP BY trip_date",
+    "fact_months_touched": f"""
+SELECT {MONTH} AS trip_month, count(*) AS rows FROM lake_fact WHERE {MONTH} IN (FROM months_touched) GROUP BY 1""",
     "curated_catalog": f"""
-SELECT CAST(date_trunc('month', trip_date) AS DATE) AS trip_month, count(*) AS trips, count(DISTINCT trip_date) AS dates,
+SELECT {MONTH} AS trip_month, count(*) AS trips, count(DISTINCT trip_date) AS dates,
        CAST({exact_sum("total_amount")} AS VARCHAR) AS revenue
 FROM lake_fact GROUP BY 1""",
     "curated_daily_revenue": _daily_revenue("lake_fact"),
@@ -543,7 +555,7 @@ SELECT CAST(0 AS BIGINT) AS out_of_order, count(*) AS trips, CAST(0 AS BIGINT) A
     "backup_snapshots": f"{_backup('first_raw', 1)} UNION ALL {_backup('t_raw', 2)}",
     "audit_log": " UNION ALL ".join([
         _run_audits(1, "first_raw", "first_valid", "first_measured", 1, "first_measured"),
-        _run_audits(2, "t_raw", "t_valid", "t_processed", 0, "(SELECT * FROM lake_fact WHERE trip_date IN (FROM touched))"),
+        _run_audits(2, "t_raw", "t_valid", "t_processed", 0, f"(SELECT * FROM lake_fact WHERE {MONTH} IN (FROM months_touched))"),
     ]),
     "load_documents": """
 SELECT run_id, run_ts AS run_ts_utc, 'zone_dim,vendor_dim,fact_trips' AS tables, zone_dim, vendor_dim, fact_trips, completeness,
