@@ -17,7 +17,7 @@ from goldenlake.session import shared_folder
 SESSION_CONF = {
     "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
 }
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -101,21 +101,45 @@ def byte_values(lower: bool) -> np.ndarray:
     return _VALUES[lower]
 
 
+#: Bytes that are hashed at once; a run that is longer is a piece by itself.
+PIECE = 1 << 20
+
+
 def run_hashes(codes: np.ndarray, start: np.ndarray, inside: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """64-bit hashes of runs of bytes: each begins at a set ``start`` and leaves out what isn't ``inside``."""
+    """64-bit hashes of runs of bytes: each begins at a set ``start`` and leaves out what isn't ``inside``.
+
+    Each place of a run has a random odd factor of its own, so no two runs collide by their structure, and two that differ in
+    one byte never do. Memory is that of a piece, however long the text.
+    """
     starts = np.flatnonzero(start)
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    at = np.arange(len(codes), dtype=np.int64)
-    at -= np.maximum.accumulate(np.where(start, at, 0))
-    at[~inside] = 0
-    powers = np.full(int(at.max()) + 1, _MULTIPLIER, np.uint64)
-    powers[0] = 1
-    powers = np.multiply.accumulate(powers)
-    terms = values[codes]
-    terms *= powers[at]
-    terms[~inside] = 0
-    return mix(np.add.reduceat(terms, starts))
+    out = np.zeros(len(starts), np.uint64)
+    first = 0
+    while first < len(starts):
+        last = max(int(np.searchsorted(starts, starts[first] + PIECE)), first + 1)
+        begin, end = int(starts[first]), int(starts[last]) if last < len(starts) else len(codes)
+        own = starts[first:last] - begin
+        at = np.arange(end - begin, dtype=np.int64)
+        at -= np.repeat(own, np.diff(np.append(own, end - begin)))
+        within = inside[begin:end]
+        at[~within] = 0
+        terms = values[codes[begin:end]]
+        terms *= _factors(int(at.max()) + 1)[at]
+        terms[~within] = 0
+        out[first:last] = mix(np.add.reduceat(terms, own))
+        first = last
+    return out
+
+
+_FACTORS = np.zeros(0, np.uint64)
+
+
+def _factors(n: int) -> np.ndarray:
+    global _FACTORS
+    if n > PIECE:
+        return mix(np.arange(1, n + 1, dtype=np.uint64) * _MULTIPLIER) | np.uint64(1)
+    if len(_FACTORS) < n:
+        _FACTORS = mix(np.arange(1, 2 * n + 64, dtype=np.uint64) * _MULTIPLIER) | np.uint64(1)
+    return _FACTORS
 
 
 def word_starts(kind: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -153,7 +177,7 @@ def shingles(words: np.ndarray, offsets: np.ndarray, width: int = 5) -> tuple[np
     return out, bounds
 
 
-def batches_of(batch: pa.RecordBatch, column: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def batches_of(batch: pa.RecordBatch, column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about ``limit`` bytes of text each (one row at least)."""
     _, offsets = text_bytes(batch.column(column))
     first = 0
@@ -204,7 +228,21 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 # -- columns computed by Python
 
 
-def with_computed(docs: DataFrame, fields: str, compute, text: str = "text", limit: int = 8 << 20) -> DataFrame:
+def with_fresh(docs: DataFrame, fields: dict[str, str], compute, text: str = "text", limit: int = 1 << 20) -> tuple[DataFrame, list[str]]:
+    """``docs`` with columns beside all of its own, and their names: those of ``fields`` (name: type), made different from
+    the names that are there. Texts go through Python once."""
+    taken = {c.lower() for c in docs.columns}
+    names = []
+    for name in fields:
+        while name.lower() in taken:
+            name += "_"
+        names.append(name)
+        taken.add(name.lower())
+    added = ", ".join(f"{name} {kind}" for name, kind in zip(names, fields.values(), strict=True))
+    return with_computed(docs, added, compute, text, limit), names
+
+
+def with_computed(docs: DataFrame, fields: str, compute, text: str = "text", limit: int = 1 << 20) -> DataFrame:
     """``docs`` with the columns ``fields`` (as DDL), which take the place of columns of the same names.
 
     ``compute`` gets slices with about ``limit`` bytes of text and returns one Arrow array for each field.

@@ -1,7 +1,7 @@
 """Cost-balanced packing of documents into sequences of a fixed number of tokens.
 
 A piece's cost is its tokens plus its attention, which grows with the square of its length. In descending order, pieces
-go to the sequence of lowest cost that still has room; one that fits nowhere near is cut. Each task packs the documents
+go to the sequence of lowest cost that still has room for them; one for which none has is cut. Each task packs the documents
 of its own input split, a window of tokens at a time, so nothing is shuffled and memory is bounded by the window. Every
 sequence of a window is full; what is left over joins the next window, and the tail of a split is laid into sequences
 of powers of two, which need no padding.
@@ -33,7 +33,6 @@ class Settings:
     end: int = 2  # id after each document
     window: int = 1 << 20  # tokens packed together
     hidden: int = 1024  # width of the model: attention costs as much as the rest at 6 * hidden tokens
-    looks: int = 8  # sequences of low cost that are tried before a piece is cut
 
 
 @dataclass(frozen=True)
@@ -65,27 +64,23 @@ def pack(pieces: list[Piece], settings: Settings) -> tuple[list[list[Piece]], li
         if len(piece.ids):
             pool.append(piece)
     bins: list[list[Piece]] = [[] for _ in range(sum(len(p.ids) for p in pool) // settings.length)]
-    room = [settings.length] * len(bins)
-    open_bins = [(0.0, i) for i in range(len(bins))]
+    room, spent = np.full(len(bins), settings.length), np.zeros(len(bins))
     queue = [(-len(p.ids), order, p) for order, p in enumerate(pool)]
     heapq.heapify(queue)
     serial = len(queue)
-    while queue and open_bins:
+    while queue and room.any():
         _, _, piece = heapq.heappop(queue)
-        seen = [heapq.heappop(open_bins) for _ in range(min(settings.looks, len(open_bins)))]
-        chosen = next((s for s in seen if room[s[1]] >= len(piece.ids)), seen[0])
-        seen.remove(chosen)
-        for other in seen:
-            heapq.heappush(open_bins, other)
-        spent, i = chosen
+        fits = room >= len(piece.ids)
+        if not fits.any():  # no sequence has room for it: it is cut to the cheapest that is open
+            fits = room > 0
+        i = int(np.where(fits, spent, np.inf).argmin())
         if room[i] < len(piece.ids):
-            piece, rest = cut(piece, room[i])
+            piece, rest = cut(piece, int(room[i]))
             heapq.heappush(queue, (-len(rest.ids), serial, rest))
             serial += 1
         bins[i].append(piece)
         room[i] -= len(piece.ids)
-        if room[i]:
-            heapq.heappush(open_bins, (spent + cost(len(piece.ids), settings), i))
+        spent[i] += cost(len(piece.ids), settings)
     return full + bins, [p for _, _, p in sorted(queue, key=lambda x: x[1])]
 
 

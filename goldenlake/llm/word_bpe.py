@@ -1,8 +1,10 @@
 """Ids of a word-level BPE tokenizer file (``tokenizers`` format, lower case, ``</w>`` at word ends), word by word.
 
 The library takes every occurrence of a word through its whole pipeline. Here all words of a column are found and hashed
-(64 bits) at once, known ones are looked up, and only new ones are merged, many at a time. Texts with characters for
-which a byte's class isn't plain, or with the strings of special tokens, go through the library itself.
+(64 bits) at once, known ones are looked up, and only new ones are merged, many at a time. Equal hashes are never trusted: the
+bytes of every word are held against those of the word that the ids were made for. Texts with characters for which a byte's
+class isn't plain, with the strings of special tokens, with very long words, or with a word whose hash another word has, go
+through the library itself.
 """
 
 from __future__ import annotations
@@ -27,8 +29,9 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _LOWER[0x80:0x9F] += 32  # the second bytes of the capitals among the Latin-1 letters
 _NONE = np.int32(2**31 - 1)
-#: Words that a worker keeps before it starts anew, and characters per call of the library.
-KEPT_WORDS, LIBRARY_CHARS = 1_000_000, 100_000
+#: Words that a worker keeps before it starts anew, characters per call of the library, and bytes of a word beyond which its
+#: text goes to the library, whose merging is not quadratic in the word.
+KEPT_WORDS, LIBRARY_CHARS, LONG_WORD = 1_000_000, 100_000, 256
 _CODERS: dict[str, WordCoder] = {}
 
 
@@ -66,6 +69,9 @@ class WordCoder:
         self.ids = np.zeros(0, np.int32)
         self.starts = np.zeros(0, np.int64)
         self.lengths = np.zeros(0, np.int64)
+        self.letters = np.zeros(0, np.uint8)  # bytes of all words
+        self.begins = np.zeros(0, np.int64)
+        self.sizes = np.zeros(0, np.int64)
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = left.astype(np.int64) << 20 | right
@@ -140,6 +146,10 @@ class WordCoder:
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
         self.lengths = np.concatenate([self.lengths, lengths])
         self.ids = np.concatenate([self.ids, *new])
+        sizes = np.array([len(w) for w in words], np.int64)
+        self.begins = np.concatenate([self.begins, len(self.letters) + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.letters = np.concatenate([self.letters, np.frombuffer(b"".join(words), np.uint8)])
 
     def _by_library(self, text: str) -> np.ndarray:
         out, first = [], 0
@@ -169,6 +179,14 @@ class WordCoder:
         codes = _LOWER[data]
         self._contractions(codes, kind, start, offsets)
         starts = np.flatnonzero(start)
+        sizes = self._sizes(kind, starts)
+        if (long := starts[sizes > LONG_WORD]).size:
+            odd_rows = np.union1d(odd_rows, np.searchsorted(offsets, long, side="right") - 1)
+            for r in odd_rows:
+                kind[offsets[r] : offsets[r + 1]] = 0
+                start[offsets[r] : offsets[r + 1]] = False
+            starts = np.flatnonzero(start)
+            sizes = self._sizes(kind, starts)
         hashes = run_hashes(codes, start, kind > 0, byte_values(False))
         used, first, which = np.unique(hashes, return_index=True, return_inverse=True)
         found = self._find(used)
@@ -176,14 +194,13 @@ class WordCoder:
             self._forget()
             found[:] = -1
         if (new := np.flatnonzero(found < 0)).size:
-            blank = np.flatnonzero(kind == 0)
             begin = starts[first[new]]
-            end = np.append(starts, len(data))[first[new] + 1]
-            gap = np.append(blank, len(data))[np.searchsorted(blank, begin)]
             raw = codes.tobytes()
-            self._learn(used[new], [raw[b:e] for b, e in zip(begin, np.minimum(end, gap), strict=True)])
+            self._learn(used[new], [raw[b:e] for b, e in zip(begin, begin + sizes[first[new]], strict=True)])
             found = self._find(used)
         place = found[which]
+        if (other := starts[self._differ(codes, starts, sizes, place)]).size:
+            odd_rows = np.union1d(odd_rows, np.searchsorted(offsets, other, side="right") - 1)
         lengths = self.lengths[place]
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
@@ -194,6 +211,26 @@ class WordCoder:
             out[r] = self._by_library(column[int(r)].as_py())
         return out
 
+    @staticmethod
+    def _sizes(kind: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Bytes of the words that begin at ``starts``."""
+        if not len(starts):
+            return np.zeros(0, np.int64)
+        blank = np.append(np.flatnonzero(kind == 0), len(kind))
+        return np.minimum(np.append(starts[1:], len(kind)), blank[np.searchsorted(blank, starts)]) - starts
+
+    def _differ(self, codes: np.ndarray, starts: np.ndarray, sizes: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Words that are not, byte by byte, those at ``place``."""
+        bad = sizes != self.sizes[place]
+        block = 1 << 16
+        for first in range(0, len(starts), block):  # words have LONG_WORD bytes at most
+            own = np.flatnonzero(~bad[first : first + block]) + first
+            within = np.arange(sizes[own].sum()) - np.repeat(np.cumsum(sizes[own]) - sizes[own], sizes[own])
+            mine = codes[np.repeat(starts[own], sizes[own]) + within]
+            known = self.letters[np.repeat(self.begins[place[own]], sizes[own]) + within]
+            bad[own[np.repeat(np.arange(len(own)), sizes[own])[mine != known]]] = True
+        return np.flatnonzero(bad)
+
     @staticmethod
     def _contractions(codes: np.ndarray, kind: np.ndarray, start: np.ndarray, offsets: np.ndarray) -> None:
         """'s 't 're 've 'm 'll 'd are words of their own where a word may begin."""
