@@ -1,6 +1,7 @@
-"""License scan: an exact set-similarity join of text blocks (lines) with license notices.
+"""License scan: an exact set-similarity join of text blocks with license notices.
 
-A block holds a notice when at least ``THRESHOLD`` of the notice's different words are among the block's words. Words
+Blocks are windows of words that overlap by half, across line ends: a notice that is wrapped, indented or commented stands
+whole in some block, and words scattered over a long text do not add up. A block holds a notice when at least ``THRESHOLD`` of the notice's different words are among the block's words. Words
 are ordered by how many blocks of the whole corpus have them, the rarest first. A pair is compared only if a word of the
 notice's prefix (its |T| - a + 1 rarest words, a being the words it must share) meets a word of the block's prefix, the
 block is long enough, and the words behind the meeting place still suffice (positional filter). What is left is
@@ -13,6 +14,7 @@ apart by a number of their own. Ties in frequency go by the word. An empty table
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -42,6 +44,7 @@ NOTICES = {
     "mpl-2.0": "this source code form is subject to the terms of the mozilla public license v 2.0",
 }
 THRESHOLD = 0.85
+SPLIT = re.compile("[^0-9a-z]+")
 
 
 def notice_words(notice: str) -> list[str]:
@@ -49,6 +52,11 @@ def notice_words(notice: str) -> list[str]:
     return list(dict.fromkeys("".join(c if c.isalnum() else " " for c in notice).split()))
 
 
+def block_step(notices: Mapping[str, str]) -> int:
+    """Words from one block to the next; a block has twice as many. No notice, with two words put in, is longer."""
+    return max((len(SPLIT.split(n.strip())) for n in notices.values()), default=1) + 2
+
+
 def needed(words: int, threshold: float) -> int:
     """Words that a block must share with a notice of so many."""
     return math.ceil(round(threshold * words, 9))
@@ -67,18 +75,20 @@ def places(words: Column, phrase: list[str]) -> Column:
     return F.when(last >= 0, F.filter(F.sequence(F.lit(0), last), stands)).otherwise(F.array().cast("array<int>"))
 
 
-def read_words(docs: DataFrame, phrases: Mapping[str, str], vocabulary: list[str]) -> DataFrame:
-    """(row, doc_id, n_words, the base columns, blocks): of each line, the words that are in the vocabulary."""
+def read_words(docs: DataFrame, phrases: Mapping[str, str], vocabulary: list[str], step: int) -> DataFrame:
+    """(row, doc_id, n_words, the base columns, blocks): of each block, the words that are in the vocabulary."""
     low = docs.select(
         F.monotonically_increasing_id().alias("row"),
         "doc_id",
         F.translate(F.coalesce("text", F.lit("")), UPPER, UPPER.lower()).alias("low"),
     )
     wanted = F.array(*map(F.lit, vocabulary))
-    split = low.withColumn("words", F.array_remove(F.split("low", SEPARATORS), "")).withColumn(
+    split = low.withColumn("words", F.array_remove(F.split("low", SEPARATORS), ""))
+    begins = F.sequence(F.lit(1), F.greatest(F.size("words"), F.lit(1)), F.lit(step))
+    split = split.withColumn(
         "blocks",
         F.filter(
-            F.transform(F.split("low", "\n"), lambda line: F.array_intersect(wanted, F.split(line, SEPARATORS))),
+            F.transform(begins, lambda i: F.array_intersect(wanted, F.slice("words", i, 2 * step))),
             lambda block: F.size(block) > 0,
         ),
     )
@@ -158,7 +168,7 @@ def scan(
     The score is the best containment, or 1 where a base phrase stands.
     """
     vocabulary = sorted({w for n in notices.values() for w in notice_words(n)})
-    rows = saved(read_words(docs, phrases, vocabulary))
+    rows = saved(read_words(docs, phrases, vocabulary, block_step(notices)))
     found = join_notices(rows.select("row", "blocks"), notices, threshold)
     found = found.groupBy("row").agg(F.collect_set("label").alias("found"), F.max("containment").alias("best"))
     merged = F.array_sort(F.array_distinct(F.concat("base", F.coalesce("found", F.array().cast("array<string>")))))

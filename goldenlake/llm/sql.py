@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from goldenlake.llm.licenses import BASE_PHRASES, NOTICES, THRESHOLD, UPPER, needed, notice_words
+from goldenlake.llm.licenses import BASE_PHRASES, NOTICES, THRESHOLD, UPPER, block_step, needed, notice_words
 
 _WORDS = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
 
@@ -14,10 +14,10 @@ def _places(phrase: str) -> str:
 
 
 def _best(notice: str) -> str:
-    """Containment of a notice in the best line; 0 below the threshold."""
-    words = notice_words(notice)
-    common = f"len(list_intersect({words!r}, regexp_extract_all(line, {_WORDS})))"
-    best = f"list_max(list_transform(string_split(low, chr(10)), lambda line: {common}))"
+    """Containment of a notice in the best block; 0 below the threshold."""
+    words, step = notice_words(notice), block_step(NOTICES)
+    common = f"len(list_intersect({words!r}, words[i + 1 : i + {2 * step}]))"
+    best = f"list_max(list_transform(range(0, greatest(len(words), 1), {step}), lambda i: {common}))"
     return f"CASE WHEN {best} >= {needed(len(words), THRESHOLD)} THEN {best} / {len(words)}.0::DOUBLE ELSE 0 END"
 
 
