@@ -12,7 +12,7 @@ prediction.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from goldenlake.llm.common import batches_of, with_computed
+from goldenlake.llm.common import batches_of, with_computed, with_fresh
 
 UNKNOWN = "und"
 #: Symbol 0 is the blank, 1 to 26 are a to z, the other letters share the rest by their code point.
@@ -134,13 +134,13 @@ def fit(docs: DataFrame, settings: Settings = Settings()) -> dict[str, np.ndarra
     return {lang: prototypes[lang] for lang in sorted(prototypes) if prototypes[lang].any()}
 
 
-def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], settings: Settings = Settings()) -> DataFrame:
-    """``docs`` with lang_pred and score, which is the cosine, at least 0."""
+def judge(prototypes: dict[str, np.ndarray], settings: Settings = Settings()) -> Callable[[pa.RecordBatch], list[pa.Array]]:
+    """What gives the language of each text of a batch and its cosine, at least 0."""
     letters, width = letter_vectors(settings), settings.width
     names = np.array([UNKNOWN, *prototypes], object)
     known = np.array([v / np.linalg.norm(v) for v in prototypes.values()], float).reshape(-1, settings.dims)
 
-    def judge(batch: pa.RecordBatch) -> list[pa.Array]:
+    def run(batch: pa.RecordBatch) -> list[pa.Array]:
         best, score = np.zeros(len(batch), np.int64), np.zeros(len(batch))
         codes, row = ngrams(batch.column("text").to_pylist(), width)
         if len(known) and len(codes):
@@ -152,7 +152,12 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], settings: Settin
             score = np.where(has, np.clip(cosines.max(axis=1), 0, 1), 0)
         return [pa.array(names[best], pa.string()), pa.array(score)]
 
-    return with_computed(docs, "lang_pred string, score double", judge, limit=1 << 20)
+    return run
+
+
+def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], settings: Settings = Settings()) -> DataFrame:
+    """``docs`` with lang_pred and score."""
+    return with_computed(docs, "lang_pred string, score double", judge(prototypes, settings))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -168,9 +173,19 @@ def identify(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     )
 
 
-def keep_identified(docs: DataFrame, least: float = 0.05, settings: Settings = Settings()) -> DataFrame:
-    """The rows of ``docs`` whose text resembles some learned language: cosine ``least`` or more."""
+def noise_floor(prototypes: dict[str, np.ndarray], settings: Settings = Settings(), texts: int = 400) -> float:
+    """The highest cosine that texts of random letters reach with any prototype. What a language is told from has to be more."""
+    random = np.random.default_rng(settings.seed + 1)
+    lengths = random.integers(8, 2000, texts)
+    made = ["".join(random.choice(list("abcdefghijklmnopqrstuvwxyz     "), n)) for n in lengths]
+    batch = pa.record_batch([pa.array(made, pa.string())], names=["text"])
+    return max(judge(prototypes, settings)(batch)[1].to_pylist(), default=0.0)
+
+
+def keep_identified(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """The rows of ``docs`` whose text resembles some learned language more than random letters do."""
     prototypes = fit(docs.filter(~held_out(F.col("doc_id"))), settings)
-    whole = docs.select("text", F.struct(*(f"`{c}`" for c in docs.columns)).alias("row"))
-    sure = predict(whole, prototypes, settings).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
-    return sure.select("row.*")
+    floor = noise_floor(prototypes, settings)
+    fields = {"lang_pred": "string", "score": "double"}
+    judged, (pred, score) = with_fresh(docs, fields, judge(prototypes, settings))
+    return judged.filter((F.col(pred) != UNKNOWN) & (F.col(score) > floor)).select(*(f"`{c}`" for c in docs.columns))
