@@ -157,7 +157,7 @@ def attach_dated(spark: SparkSession, name: str, table: DatedTable) -> str:
     added = [f"PARTITION ({table.part}='{p}') LOCATION '{table.folder(live[p][1], p)}'" for p in sorted(live.keys() - listed)]
     for first in range(0, len(added), 500):
         spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(added[first : first + 500])}")
-    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{ATTACHED}' = '{'|'.join(max(live.values()))}')")
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{ATTACHED}' = '{'|'.join(max(live.values(), default=last))}')")
     spark.catalog.refreshTable(name)
     return name
 

@@ -62,6 +62,11 @@ class DatedTable:
     def dates_path(self) -> str:
         return f"{self.path}/dates"
 
+    @property
+    def _columns_path(self) -> str:
+        """An empty frame from the first run, which tells the columns of a table that holds no rows yet."""
+        return f"{self.path}/columns"
+
     # -- reading
 
     def records(self) -> DataFrame:
@@ -84,7 +89,7 @@ class DatedTable:
         for r in self.live().select("run_id", "part").collect():  # one row a date
             folders[r.run_id].append(r.part)
         if not folders:
-            raise ValueError(f"{self.path} holds no rows")
+            return self.spark.createDataFrame([], self.schema())
         paths = [f"{self.rows_path}/run_id={run}" for run in folders]
         data = self.schema()
         schema = StructType([*data]).add("run_id", "string")
@@ -98,6 +103,10 @@ class DatedTable:
     def schema(self) -> StructType:
         """Columns as the last run wrote them, the date last; one folder is looked at."""
         last = self.records().filter("rows > 0").agg(F.max_by(F.struct("run_id", "part"), F.struct("run_ts", "run_id"))).first()[0]
+        if last is None:
+            if read_if_exists(self.spark, self._columns_path, "_ int") is None:
+                raise ValueError(f"{self.path} was never written")
+            return self.spark.read.parquet(self._columns_path).schema
         inside = self.spark.read.parquet(self.folder(last.run_id, last.part)).schema
         return StructType([*inside]).add(self.part, "date")
 
@@ -138,6 +147,8 @@ class DatedTable:
     def _write(self, df: DataFrame, dates: list[Row], run: Run) -> list[Row]:
         if any(r.part is None for r in dates):
             raise ValueError(f"rows without {self.part}")
+        typed = df.withColumn(self.part, F.expr(PARTS[self.part])).select(*[c for c in df.columns if c != self.part], self.part)
+        self.spark.createDataFrame([], typed.schema).write.mode("ignore").parquet(self._columns_path)
         filled = {r.part: r.rows for r in dates if r.rows}
         if filled:
             placed = df.withColumn(self.part, F.expr(PARTS[self.part])).filter(F.col(self.part).isin(list(filled)))

@@ -94,10 +94,25 @@ def test_replace_given_dates(spark, tmp_path):
 def test_rows_without_a_date_are_refused(spark, table):
     with pytest.raises(ValueError, match="rows without trip_date"):
         table.refill(spark.createDataFrame([(1, 1.0, None)], SCHEMA), RUNS[0])
-    with pytest.raises(ValueError, match="holds no rows"):
+    with pytest.raises(ValueError, match="never written"):
         table.read()
 
 
+def test_table_without_rows(spark, table):
+    nothing = frame(spark)
+    assert days(table.refill(nothing, RUNS[0])) == set()
+    assert table.read().columns == nothing.columns and table.read().isEmpty()
+    catalog.attach_dated(spark, "dated_test.nothing", table)
+    assert spark.table("dated_test.nothing").isEmpty()
+    some = frame(spark, (1, 1.0, 1))
+    table.refill(some, RUNS[1])
+    catalog.attach_dated(spark, "dated_test.nothing", table)
+    assert rows(spark.table("dated_test.nothing")) == rows(some)
+    table.refill(nothing, RUNS[2])
+    catalog.attach_dated(spark, "dated_test.nothing", table)
+    assert table.read().isEmpty() and spark.table("dated_test.nothing").isEmpty()
+
+
 def test_dates_are_pruned(spark, table, plan_of):
     table.refill(frame(spark, (1, 1.0, 1), (2, 2.0, 2)), RUNS[0])
     table.refill(frame(spark, (1, 1.0, 1), (2, 3.0, 2)), RUNS[1])
