@@ -285,17 +285,26 @@ def test_passages_are_held_against_the_smallest_copy(spark):
 
 @pytest.mark.parametrize("crowd", [2, 64])
 def test_passages_of_middle_documents(spark, crowd):
-    random = np.random.default_rng(11)
-    passage = words(random, 60).split()
-    # Unrelated documents at both ends of the ids have every run of five words of the passage, but not the passage.
-    runs = [w for i in range(56) for w in (*passage[i : i + 5], *words(random, 60).split())]
-    edited = [*passage[:30], "changed", *passage[31:]]
-    rows = [(d, " ".join(runs)) for d in (1, 2, 90, 91)]
-    rows += [(d, " ".join(words(random, 50).split() + own + words(random, 50).split())) for d, own in ((40, passage), (41, passage), (42, edited))]
+    """Four draws, told apart by thousands of the ids. Exact copies are always found; an edit in the middle of the passage leaves
+    the method a small chance to miss it (see test_windows for the rate), here one of the four at most."""
+    rows = []
+    for draw in range(4):
+        random = np.random.default_rng(11 + draw)
+        passage = words(random, 60).split()
+        # Unrelated documents at both ends of the ids have every run of five words of the passage, but not the passage.
+        runs = [w for i in range(56) for w in (*passage[i : i + 5], *words(random, 60).split())]
+        edited = [*passage[:30], "changed", *passage[31:]]
+        own_rows = [(d, runs) for d in (1, 2, 90, 91)]
+        own_rows += [(d, words(random, 50).split() + own + words(random, 50).split()) for d, own in ((40, passage), (41, passage), (42, edited))]
+        rows += [(1000 * draw + d, " ".join(text)) for d, text in own_rows]
     found = windows.passages(spark.createDataFrame(rows, "doc_id long, text string"), windows.Settings(crowd=crowd)).collect()
     covered = {d: np.zeros(len(text.split()), bool) for d, text in rows}
     for r in found:
-        covered[r.doc_id][r.start : r.end] |= r.doc_id in (40, 41, 42)
-    assert all(covered[d][50:110].all() for d in (40, 41, 42))
-    assert {(r.doc_id, r.first_doc_id) for r in found if r.doc_id in (41, 42)} >= {(41, 40), (42, 40)}
-    assert {r.doc_id for r in found if r.is_first} <= {1, 40}
+        covered[r.doc_id][r.start : r.end] |= r.doc_id % 1000 in (40, 41, 42)
+    links = {(r.doc_id, r.first_doc_id) for r in found}
+    missed = 0
+    for base in (0, 1000, 2000, 3000):
+        assert all(covered[base + d][50:110].all() for d in (40, 41)) and (base + 41, base + 40) in links
+        missed += not (covered[base + 42][50:110].all() and (base + 42, base + 40) in links)
+    assert missed <= 1
+    assert {r.doc_id % 1000 for r in found if r.is_first} <= {1, 40}
