@@ -7,10 +7,11 @@ most). Each segment is indexed by a signature of its shingles; in bands where th
 neighbours are indexed too. A cost model picks the form and m for each band. Segments that tell nothing (empty ones) are
 counted: a set with too many of them is indexed once more under another seed, so no pair is lost.
 
-Pairs that share enough signatures are verified exactly (on 64-bit hashes of the shingles). Groups of copies take part
-as their smallest document. A signature that many sets share is dropped for a set that has enough other ones; in what is
-left of such groups, all sets are held against the smallest one first, and then only those that ended up in different
-components are held against each other.
+Pairs that share enough signatures are verified exactly (on 64-bit hashes of the shingles). Signatures go by the name of
+the set, so copies are one set from there on, and texts are those of its smallest document. A signature that many sets
+share is dropped for a set that has enough other ones; in what is left of such groups, each set is held against a few that
+stand first in groups of its own, and then only sets that ended up in different components, and that share enough of these
+signatures as well, are held against each other.
 
 A set has the different runs of five words of the lower-cased (A-Z) text; a shorter text is one run. Rows without doc_id
 are left out; rows that share a doc_id are one node, each with its own n_shingles. Null and empty texts have no shingles
@@ -52,6 +53,7 @@ class Settings:
     percent: int = 80  # Jaccard similarity of linked sets
     width: int = 5  # words of a shingle
     hot: int = 8  # sets that share a signature and are still paired off at once
+    first: int = 4  # sets, of those that stand first in groups of many, that a set is held against
     slack: int = 1  # equal segments beyond the cheapest guarantee; they let hot signatures be dropped
 
 
@@ -162,7 +164,7 @@ def segment_signatures(
 
 
 def signatures(docs: DataFrame, settings: Settings) -> DataFrame:
-    """(sig, doc_id, tag) of the sets of all texts; a task gives those of equal sets once. The low byte of the tag is the
+    """(sig, key, tag) of the sets of all texts; a task gives those of equal sets once. The low byte of the tag is the
     number of matches to spare, plus 128; the rest names the band and seed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,10 +172,10 @@ def signatures(docs: DataFrame, settings: Settings) -> DataFrame:
         for whole in batches:
             for batch in batches_of(whole, "text", 4 << 20):
                 values, bounds = distinct_shingles(batch.column("text"), settings.width)
-                ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+                keys = set_keys(values, bounds)
                 sizes = np.diff(bounds)
                 fresh = sizes > 0
-                for i, key in enumerate(set_keys(values, bounds).tolist()):
+                for i, key in enumerate(keys.tolist()):
                     fresh[i] &= key not in seen
                     seen.add(key)
                 number = bands(sizes)
@@ -185,10 +187,10 @@ def signatures(docs: DataFrame, settings: Settings) -> DataFrame:
                         sig, of, spare = segment_signatures(values, bounds, rows, band, seed)
                         tags = np.zeros(len(sizes), np.int64)
                         tags[rows] = (b * 64 + seed) * 256 + np.clip(spare, -128, 127) + 128
-                        yield pa.record_batch([signed(sig), pa.array(ids[of]), pa.array(tags[of].astype(np.int32))], names=["sig", "doc_id", "tag"])
+                        yield pa.record_batch([signed(sig), signed(keys[of]), pa.array(tags[of].astype(np.int32))], names=["sig", "key", "tag"])
                         rows, seed = rows[spare < 0], seed + 1
 
-    return docs.mapInArrow(run, "sig long, doc_id long, tag int")
+    return docs.mapInArrow(run, "sig long, key long, tag int")
 
 
 def verify(pairs: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
@@ -214,11 +216,11 @@ def verify(pairs: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
 
 
 def _of_sets(pairs: DataFrame, owners: DataFrame, settings: Settings) -> DataFrame:
-    """Pairs of documents as pairs (a, b) of the smallest documents with the same sets, if the sizes allow a link."""
-    one, two = (owners.select(*(F.col(c).alias(f"{c}_{side}") for c in ("doc_id", "rep", "n"))) for side in "ab")
+    """Pairs of sets as pairs (a, b) of the smallest documents that have them, if the sizes allow a link."""
+    one, two = (owners.select(*(F.col(c).alias(f"{c}_{side}") for c in ("key", "rep", "n"))) for side in "ab")
     return (
-        pairs.join(one, F.col("a") == F.col("doc_id_a"))
-        .join(two, F.col("b") == F.col("doc_id_b"))
+        pairs.join(one, F.col("a") == F.col("key_a"))
+        .join(two, F.col("b") == F.col("key_b"))
         .filter(F.col("rep_a") != F.col("rep_b"))
         .filter(100 * F.least("n_a", "n_b") >= settings.percent * F.greatest("n_a", "n_b"))
         .select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b"))
@@ -228,34 +230,33 @@ def _of_sets(pairs: DataFrame, owners: DataFrame, settings: Settings) -> DataFra
 
 def links(docs: DataFrame, info: DataFrame, copies: DataFrame, settings: Settings) -> DataFrame:
     """Pairs (a, b) of similar documents that, with ``copies``, connect all that similar pairs connect."""
-    sets = info.filter("key IS NOT NULL").select("doc_id", "key", F.col("n_shingles").alias("n"))
-    owners = sets.withColumn("rep", F.min("doc_id").over(Window.partitionBy("key"))).select("doc_id", "rep", "n")
-    owners = saved(owners.distinct())
+    owners = info.filter("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"))
+    owners = saved(owners)
 
-    # One shuffle: what shares a signature is told from what doesn't, and small groups are laid into one row.
+    # One shuffle: what shares a signature is told from what doesn't, copies that came from several tasks are made one, and
+    # small groups are laid into one row.
     by_sig = Window.partitionBy("sig")
-    sharing = F.count("*").over(by_sig)
     shared = saved(
         signatures(docs, settings)
-        .withColumns({"least": F.min("doc_id").over(by_sig), "most": F.max("doc_id").over(by_sig), "sharing": sharing})
-        .filter("least < most")
-        .withColumn("alone", F.when(F.col("sharing") > settings.hot, F.col("doc_id")))
+        .withColumn("before", F.lag("key").over(by_sig.orderBy("key")))
+        .filter("before IS NULL OR before <> key")
+        .withColumn("sharing", F.count("*").over(by_sig))
+        .filter("sharing > 1")
+        .withColumn("alone", F.when(F.col("sharing") > settings.hot, F.col("key")))
         .groupBy("sig", "alone")
-        .agg(F.sort_array(F.collect_list(F.struct("doc_id", "tag"))).alias("docs"))
+        .agg(F.sort_array(F.collect_list(F.struct("key", "tag"))).alias("sets"))
     )
-    crowds = shared.filter("alone IS NOT NULL").select("sig", F.explode("docs").alias("doc")).select("sig", "doc.*")
-    parts = {"scheme": F.expr("tag >> 8"), "spare": F.expr("(tag & 255) - 128")}
-    crowds = crowds.withColumns(parts).drop("tag")
-    hot = saved(crowds.groupBy("doc_id", "scheme").agg(F.count("*").alias("hot")))
+    crowds = shared.filter("alone IS NOT NULL").select("sig", F.col("alone").alias("key"), F.col("sets")[0]["tag"].alias("tag"))
+    crowds = crowds.select("sig", "key", F.expr("tag >> 8").alias("scheme"), F.expr("(tag & 255) - 128").alias("spare"))
+    hot = saved(crowds.groupBy("key", "scheme").agg(F.count("*").alias("hot")))
 
     pairs = F.expr(
-        "flatten(transform(docs, (x, i) -> transform(slice(docs, i + 2, size(docs)), y -> struct(x AS x, y AS y))))"
+        "flatten(transform(sets, (x, i) -> transform(slice(sets, i + 2, size(sets)), y -> struct(x AS x, y AS y))))"
     )
     found = (
         shared.filter("alone IS NULL")
         .select(F.explode(pairs).alias("pair"))
-        .filter("pair.x.doc_id < pair.y.doc_id")
-        .groupBy(F.col("pair.x.doc_id").alias("a"), F.col("pair.y.doc_id").alias("b"), F.expr("pair.x.tag >> 8").alias("scheme"))
+        .groupBy(F.col("pair.x.key").alias("a"), F.col("pair.y.key").alias("b"), F.expr("pair.x.tag >> 8").alias("scheme"))
         .agg(
             F.count("*").alias("shared"),
             F.first(F.expr("(pair.x.tag & 255) - 128")).alias("spare_a"),
@@ -264,27 +265,38 @@ def links(docs: DataFrame, info: DataFrame, copies: DataFrame, settings: Setting
     )
     for side in "ab":  # hot signatures may be among those that a pair has to share
         found = found.join(
-            hot.select(F.col("doc_id").alias(side), "scheme", F.col("hot").alias(f"hot_{side}")), [side, "scheme"], "left"
+            hot.select(F.col("key").alias(side), "scheme", F.col("hot").alias(f"hot_{side}")), [side, "scheme"], "left"
         ).withColumn(f"spare_{side}", F.col(f"spare_{side}") - F.coalesce(f"hot_{side}", F.lit(0)))
     found = found.filter(F.col("shared") > F.greatest("spare_a", "spare_b", F.lit(0))).select("a", "b")
 
-    crowds = crowds.join(hot, ["doc_id", "scheme"]).filter("hot > spare").select("sig", "doc_id")
-    star = crowds.withColumn("a", F.min("doc_id").over(by_sig)).select("a", F.col("doc_id").alias("b")).filter("a < b")
+    crowds = saved(crowds.join(hot, ["key", "scheme"]).filter("hot > spare").drop("hot"))
+    star = crowds.withColumn("a", F.min("key").over(by_sig)).filter("a < key").groupBy(F.col("key").alias("b"), "a").count()
+    likely = Window.partitionBy("b").orderBy(F.desc("count"), "a")
+    star = star.withColumn("at", F.row_number().over(likely)).filter(F.col("at") <= settings.first).select("a", "b")
     tested = saved(_of_sets(found.unionByName(star).distinct(), owners, settings))
     linked = saved(verify(tested, docs, settings))
     if crowds.isEmpty():
         return linked
-    labels = components(linked.unionByName(copies)).withColumnRenamed("node", "doc_id")
-    rest = crowds.join(labels, "doc_id", "left").join(owners, "doc_id")
-    rest = rest.select("sig", F.col("rep").alias("doc_id"), F.coalesce("component", "rep").alias("component")).distinct()
-    apart = rest.withColumns(
+    labels = components(linked.unionByName(copies)).withColumnRenamed("node", "rep")
+    named = owners.join(labels, "rep", "left").select("key", "n", F.coalesce("component", "rep").alias("component"))
+    apart = crowds.join(named, "key").withColumns(
         {"least": F.min("component").over(by_sig), "most": F.max("component").over(by_sig)}
-    ).filter("least < most")
-    apart = saved(apart.drop("least", "most"))
+    )
+    apart = saved(apart.filter("least < most").drop("least", "most"))
     left, right = (
-        apart.select("sig", F.col("doc_id").alias(side), F.col("component").alias(f"component_{side}")) for side in "ab"
+        apart.select("sig", "scheme", *(F.col(c).alias(f"{c}_{side}") for c in ("key", "n", "spare", "component"))) for side in "ab"
+    )
+    # A similar pair that shares no small group has all that it must share in these.
+    more = (
+        left.join(right, ["sig", "scheme"])
+        .filter("component_a < component_b")
+        .filter(100 * F.least("n_a", "n_b") >= settings.percent * F.greatest("n_a", "n_b"))
+        .groupBy(F.col("key_a").alias("a"), F.col("key_b").alias("b"), "scheme", "spare_a", "spare_b")
+        .agg(F.count("*").alias("shared"))
+        .filter(F.col("shared") > F.greatest("spare_a", "spare_b", F.lit(0)))
+        .select("a", "b")
+        .distinct()
     )
-    more = left.join(right, "sig").filter("component_a < component_b").select("a", "b").distinct()
     more = saved(_of_sets(more, owners, settings).join(tested, ["a", "b"], "left_anti"))
     return linked.unionByName(verify(more, docs, settings))
 

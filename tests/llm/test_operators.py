@@ -219,6 +219,32 @@ def test_jaccard_by_brute_force(docs, nothing, deletions, monkeypatch):
     assert jaccard.near_duplicates(nothing).count() == 0
 
 
+def test_jaccard_makes_copies_from_several_tasks_one_set(spark, monkeypatch):
+    """Thirty copies and a near copy, a task each: texts are compared for the two different sets only."""
+    words = [f"word{i}" for i in range(40)]
+    texts = [" ".join(words)] * 30 + [" ".join([*words, "more"])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(31, "doc_id")
+    compared, verify = [], jaccard.verify
+
+    def counted(pairs, *args):
+        compared.extend((r.a, r.b) for r in pairs.collect())
+        return verify(pairs, *args)
+
+    grouped, shared = [], jaccard.saved
+
+    def seen(df):
+        if "sets" in df.columns or "docs" in df.columns:
+            grouped.append(df.selectExpr(f"max(size({'sets' if 'sets' in df.columns else 'docs'})) AS most", "count(alone) AS crowd").first())
+        return shared(df)
+
+    monkeypatch.setattr(jaccard, "verify", counted)
+    monkeypatch.setattr(jaccard, "saved", seen)
+    found = jaccard.near_duplicates(docs).collect()
+    assert {r.component_id for r in found} == {0} and len(found) == 31
+    assert compared == [(0, 30)]
+    assert [tuple(r) for r in grouped] == [(2, 0)]
+
+
 def test_graph_counts_links(spark):
     random = np.random.default_rng(8)
     centers = random.normal(size=(30, 16))
