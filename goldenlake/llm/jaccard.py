@@ -10,8 +10,8 @@ counted: a set with too many of them is indexed once more under another seed, so
 Pairs that share enough signatures are verified exactly (on 64-bit hashes of the shingles). Signatures go by the name of
 the set, so copies are one set from there on, and texts are those of its smallest document. A signature that many sets
 share is dropped for a set that has enough other ones; in what is left of such groups, each set is held against a few that
-stand first in groups of its own, and then only sets that ended up in different components, and that share enough of these
-signatures as well, are held against each other.
+stand first in groups of its own, those that share most with others. Then only sets of groups that still hold several
+components are held against each other, by the rarest of the shingles that other components have too.
 
 A set has the different runs of five words of the lower-cased (A-Z) text; a shorter text is one run. Rows without doc_id
 are left out; rows that share a doc_id are one node, each with its own n_shingles. Null and empty texts have no shingles
@@ -27,7 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from goldenlake.llm.common import (
@@ -46,6 +46,8 @@ from goldenlake.llm.common import (
 
 #: Sizes of neighbouring bands, and what a signature that meets others by chance costs, in rows of signatures.
 RATIO, CHANCE = 1.5, 12
+#: Sizes of neighbouring classes of partners, where sets of large groups are held against each other.
+STEP = 1.03
 
 
 @dataclass(frozen=True)
@@ -170,7 +172,7 @@ def signatures(docs: DataFrame, settings: Settings) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for whole in batches:
-            for batch in batches_of(whole, "text", 4 << 20):
+            for batch in batches_of(whole, "text"):
                 values, bounds = distinct_shingles(batch.column("text"), settings.width)
                 keys = set_keys(values, bounds)
                 sizes = np.diff(bounds)
@@ -202,7 +204,7 @@ def verify(pairs: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for large in batches:
-            for batch in batches_of(large, "text_a", 4 << 20):
+            for batch in batches_of(large, "text_a"):
                 left, ends = distinct_shingles(batch.column("text_a"), settings.width)
                 right, bounds = distinct_shingles(batch.column("text_b"), settings.width)
                 alike = np.zeros(len(batch), bool)
@@ -228,6 +230,74 @@ def _of_sets(pairs: DataFrame, owners: DataFrame, settings: Settings) -> DataFra
     )
 
 
+def rare_first(sets: DataFrame, docs: DataFrame, owners: DataFrame, settings: Settings) -> DataFrame:
+    """(shingle, key, n, component, place) of the shingles that sets of several components have, as far as a similar pair must
+    share one; a set's shingles are counted from the rarest, and before them come those that no other component has."""
+    texts = sets.join(owners.select("key", "n", F.col("rep").alias("doc_id")), "key").join(docs, "doc_id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in batches_of(whole, "text"):
+                values, bounds = distinct_shingles(batch.column("text"), settings.width)
+                # Rows that share a doc_id: a set is that of the text that has its name.
+                own = set_keys(values, bounds).view(np.int64) == batch.column("key").to_numpy()
+                of = np.repeat(np.arange(len(batch)), np.diff(bounds))
+                values, of = values[own[of]], pa.array(of[own[of]])
+                columns = [batch.column(c).take(of) for c in ("key", "n", "component")]
+                yield pa.record_batch([signed(values), *columns], names=["shingle", "key", "n", "component"])
+
+    members = texts.select("key", "n", "component", "text").mapInArrow(run, "shingle long, key long, n long, component long")
+    members = saved(members.distinct())
+    known = members.groupBy("shingle").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("sets"))
+    known = members.join(known.filter("least < most").select("shingle", "sets"), "shingle")
+    by_set = Window.partitionBy("key")
+    place = F.col("n") - F.count("*").over(by_set) + F.row_number().over(by_set.orderBy("sets", "shingle")) - 1
+    return known.withColumn("place", place).filter(100 * F.col("place") <= (100 - settings.percent) * F.col("n")).drop("sets")
+
+
+def pairs_apart(sets: DataFrame, docs: DataFrame, owners: DataFrame, settings: Settings) -> DataFrame:
+    """Pairs (a, b) of the given sets (key, component) that lie in different components and may be similar; none that is similar is left out.
+
+    Sets of n and m shingles must share p * (n + m) / (100 + p) of them, so one stands among the first of both when all sets
+    count theirs in one order, here from the rarest. How many are the first depends on both sizes: a set is dealt out once
+    for each class of sizes that a partner can have. Near copies that are too far from each other have enough shingles of their
+    own to fill these places, so that many of them make few pairs. Pairs within the largest component of a shingle aren't made.
+    """
+    p = settings.percent
+
+    def low(size_class: Column) -> Column:
+        return F.ceil(F.pow(F.lit(STEP), size_class))  # the smallest size of a class, or one less by rounding
+
+    def class_of(size: Column) -> Column:
+        return F.floor(F.log(size) / math.log(STEP) + 1e-9)
+
+    def first_of(size: Column, other: Column) -> Column:
+        return size - F.ceil(p * (size + other) / (100 + p) - 1e-9)  # last place that counts
+
+    dealt = rare_first(sets, docs, owners, settings).withColumn("own", class_of(F.col("n")))
+    smallest, largest = F.ceil(p * F.col("n") / 100 - 1e-9), F.floor(100 * F.col("n") / p + 1e-9)
+    dealt = dealt.withColumn("other", F.explode(F.sequence(class_of(smallest), class_of(largest))))
+    dealt = dealt.filter(F.col("place") <= first_of(F.col("n"), F.greatest(low(F.col("other")) - 1, smallest)))
+    dealt = dealt.withColumns({"small": F.least("own", "other"), "large": F.greatest("own", "other")}).drop("own", "other")
+    dealt = saved(dealt)
+    group = ["shingle", "small", "large"]
+    counted = dealt.groupBy(*group, "component").count().groupBy(*group)
+    counted = counted.agg(F.max(F.struct("count", "component"))["component"].alias("main"), F.count("*").alias("components"))
+    dealt = dealt.join(counted.filter("components > 1").drop("components"), group)
+    left, right = (
+        dealt.select(*group, "main", *(F.col(c).alias(f"{c}_{side}") for c in ("key", "n", "place", "component"))) for side in "ab"
+    )
+    left = left.filter("component_a <> main").drop("main")
+    right = right.withColumn("minor", F.col("component_b") != F.col("main")).drop("main")
+    met = (
+        (F.col("component_a") != F.col("component_b"))
+        & (~F.col("minor") | (F.col("component_a") < F.col("component_b")))
+        & (F.col("place_a") <= first_of(F.col("n_a"), F.col("n_b")))
+        & (F.col("place_b") <= first_of(F.col("n_b"), F.col("n_a")))
+    )
+    return left.join(right, group).filter(met).select(F.col("key_a").alias("a"), F.col("key_b").alias("b")).distinct()
+
+
 def links(docs: DataFrame, info: DataFrame, copies: DataFrame, settings: Settings) -> DataFrame:
     """Pairs (a, b) of similar documents that, with ``copies``, connect all that similar pairs connect."""
     owners = info.filter("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"))
@@ -269,8 +339,12 @@ def links(docs: DataFrame, info: DataFrame, copies: DataFrame, settings: Setting
         ).withColumn(f"spare_{side}", F.col(f"spare_{side}") - F.coalesce(f"hot_{side}", F.lit(0)))
     found = found.filter(F.col("shared") > F.greatest("spare_a", "spare_b", F.lit(0))).select("a", "b")
 
-    crowds = saved(crowds.join(hot, ["key", "scheme"]).filter("hot > spare").drop("hot"))
-    star = crowds.withColumn("a", F.min("key").over(by_sig)).filter("a < key").groupBy(F.col("key").alias("b"), "a").count()
+    crowds = crowds.join(hot, ["key", "scheme"]).filter("hot > spare").drop("hot")
+    crowds = saved(crowds.withColumn("sharing", F.count("*").over(by_sig)))
+    # What near copies were made from has most in common with them: it stands first in its groups.
+    weights = crowds.groupBy("key", "scheme").agg(F.sum("sharing").alias("weight"))
+    headed = crowds.join(weights, ["key", "scheme"]).withColumn("a", F.max(F.struct("weight", "key")).over(by_sig)["key"])
+    star = headed.filter("a <> key").groupBy(F.col("key").alias("b"), "a").count()
     likely = Window.partitionBy("b").orderBy(F.desc("count"), "a")
     star = star.withColumn("at", F.row_number().over(likely)).filter(F.col("at") <= settings.first).select("a", "b")
     tested = saved(_of_sets(found.unionByName(star).distinct(), owners, settings))
@@ -283,20 +357,8 @@ def links(docs: DataFrame, info: DataFrame, copies: DataFrame, settings: Setting
         {"least": F.min("component").over(by_sig), "most": F.max("component").over(by_sig)}
     )
     apart = saved(apart.filter("least < most").drop("least", "most"))
-    left, right = (
-        apart.select("sig", "scheme", *(F.col(c).alias(f"{c}_{side}") for c in ("key", "n", "spare", "component"))) for side in "ab"
-    )
     # A similar pair that shares no small group has all that it must share in these.
-    more = (
-        left.join(right, ["sig", "scheme"])
-        .filter("component_a < component_b")
-        .filter(100 * F.least("n_a", "n_b") >= settings.percent * F.greatest("n_a", "n_b"))
-        .groupBy(F.col("key_a").alias("a"), F.col("key_b").alias("b"), "scheme", "spare_a", "spare_b")
-        .agg(F.count("*").alias("shared"))
-        .filter(F.col("shared") > F.greatest("spare_a", "spare_b", F.lit(0)))
-        .select("a", "b")
-        .distinct()
-    )
+    more = pairs_apart(apart.select("key", "component").distinct(), docs, owners, settings)
     more = saved(_of_sets(more, owners, settings).join(tested, ["a", "b"], "left_anti"))
     return linked.unionByName(verify(more, docs, settings))
 

@@ -245,6 +245,37 @@ def test_jaccard_makes_copies_from_several_tasks_one_set(spark, monkeypatch):
     assert [tuple(r) for r in grouped] == [(2, 0)]
 
 
+def test_jaccard_compares_few_of_many_variants(spark, monkeypatch):
+    """Eighty variants that are too far from their text and from each other, in large groups; some have a near copy."""
+    random = np.random.default_rng(4)
+    base = [f"word{i}" for i in range(100)]
+
+    def edited(words, places, tag):
+        return [f"{tag}x{i}" if i in places else w for i, w in enumerate(words)]
+
+    variants = [edited(base, set((random.choice(19, 4, replace=False) * 5 + 4).tolist()), f"v{i}") for i in range(80)]
+    variants += [edited(variants[i], {2}, f"n{i}") for i in range(0, 80, 9)]
+    rows = [(i, " ".join(v)) for i, v in enumerate([base, *variants])]
+    sets = [shingle_set(text) for _, text in rows]
+    expected = {i: i for i, _ in rows}
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if 100 * len(a & sets[j]) >= 80 * len(a | sets[j]):
+                assert expected[j] == j
+                expected[i] = j
+    assert sum(i != c for i, c in expected.items()) == 9
+    compared, verify = [], jaccard.verify
+
+    def counted(pairs, *args):
+        compared.append(pairs.count())
+        return verify(pairs, *args)
+
+    monkeypatch.setattr(jaccard, "verify", counted)
+    found = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id: r.component_id for r in found.collect()} == expected
+    assert len(compared) == 2 and compared[1] <= len(rows)  # what the large groups leave to compare
+
+
 def test_graph_counts_links(spark):
     random = np.random.default_rng(8)
     centers = random.normal(size=(30, 16))
