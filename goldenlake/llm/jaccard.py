@@ -34,6 +34,7 @@ from goldenlake.llm.common import (
     SHINGLE_WORDS,
     batches_of,
     components,
+    mapped,
     mix,
     saved,
     seed_of,
@@ -192,7 +193,7 @@ def signatures(docs: DataFrame, settings: Settings) -> DataFrame:
                         yield pa.record_batch([signed(sig), signed(keys[of]), pa.array(tags[of].astype(np.int32))], names=["sig", "key", "tag"])
                         rows, seed = rows[spare < 0], seed + 1
 
-    return docs.mapInArrow(run, "sig long, key long, tag int")
+    return mapped(docs, run, "sig long, key long, tag int")
 
 
 def verify(pairs: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
@@ -214,7 +215,7 @@ def verify(pairs: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
                     alike[i] = both > 0 and 100 * both >= settings.percent * (len(one) + len(two) - both)
                 yield batch.select(["a", "b"]).filter(pa.array(alike))
 
-    return whole.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long").distinct()
+    return mapped(whole.select("a", "b", "text_a", "text_b"), run, "a long, b long").distinct()
 
 
 def _of_sets(pairs: DataFrame, owners: DataFrame, settings: Settings) -> DataFrame:
@@ -246,7 +247,7 @@ def rare_first(sets: DataFrame, docs: DataFrame, owners: DataFrame, settings: Se
                 columns = [batch.column(c).take(of) for c in ("key", "n", "component")]
                 yield pa.record_batch([signed(values), *columns], names=["shingle", "key", "n", "component"])
 
-    members = texts.select("key", "n", "component", "text").mapInArrow(run, "shingle long, key long, n long, component long")
+    members = mapped(texts.select("key", "n", "component", "text"), run, "shingle long, key long, n long, component long")
     members = saved(members.distinct())
     known = members.groupBy("shingle").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("sets"))
     known = members.join(known.filter("least < most").select("shingle", "sets"), "shingle")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from goldenlake.llm.common import batches_of, with_computed, with_fresh
+from goldenlake.llm.common import batches_of, mapped, with_computed, with_fresh
 
 UNKNOWN = "und"
 #: Symbol 0 is the blank, 1 to 26 are a to z, the other letters share the rest by their code point.
@@ -121,9 +121,7 @@ def fit(docs: DataFrame, settings: Settings = Settings()) -> dict[str, np.ndarra
             )
 
     rows = (
-        docs.select("text", "lang")
-        .filter("text IS NOT NULL AND lang IS NOT NULL")
-        .mapInArrow(bundle, "lang string, dim int, value long")
+        mapped(docs.select("text", "lang").filter("text IS NOT NULL AND lang IS NOT NULL"), bundle, "lang string, dim int, value long")
         .groupBy("lang", "dim")
         .agg(F.sum("value").alias("value"))
         .collect()  # languages x dimensions

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from goldenlake.llm.common import batches_of
+from goldenlake.llm.common import batches_of, mapped
 from goldenlake.llm.word_bpe import coder
 
 FIELDS = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, tokens binary"
@@ -148,4 +148,4 @@ def pack_documents(docs: DataFrame, path: str, settings: Settings = Settings())
         if sequences:
             yield rows(sequences, serial)
 
-    return docs.select("doc_id", "text").mapInArrow(run, FIELDS)
+    return mapped(docs.select("doc_id", "text"), run, FIELDS)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from goldenlake.llm.common import batches_of, byte_classes, mix, saved, with_computed, with_fresh, word_hashes
+from goldenlake.llm.common import batches_of, byte_classes, mapped, mix, saved, with_computed, with_fresh, word_hashes
 
 #: Words are runs of letters, digits and bytes over 127; each other visible ASCII character belongs to a run of its own kind.
 CLASSES = byte_classes(" \t\n\v\f\r", "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
@@ -74,9 +74,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
         yield pa.record_batch([pa.array(used), *map(pa.array, counts[:, used])], names=["bucket", "raw", "target"])
 
     counted = (
-        docs.select("doc_id", "text")
-        .filter("doc_id IS NOT NULL")
-        .mapInArrow(count, "bucket long, raw long, target long")
+        mapped(docs.select("doc_id", "text").filter("doc_id IS NOT NULL"), count, "bucket long, raw long, target long")
         .groupBy("bucket")
         .agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
         .collect()  # one row for each bucket at most
