@@ -6,6 +6,7 @@ import os
 import resource
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from goldenlake.llm import common
@@ -60,3 +61,24 @@ def test_shingles_of_short_rows():
         for x in row:
             want = common.mix(want + np.uint64(x))
         assert value == want[0]
+
+
+def test_words_hashed_by_place_are_those_hashed_by_run():
+    """Rows without words, words around the limit of places, bytes of two classes."""
+    rows = ["", None, " a  bc\t", "é" * 31 + " x", "w" * 63 + " " + "W" * 64 + " " + "w" * 65 + "1" + "w" * 200, " ", "last 9one9"]
+    column = pa.array(rows, pa.string())
+    for classes in (common.SHINGLE_WORDS, common.byte_classes(" \t", "19")):
+        for lower in (True, False):
+            data, offsets = common.text_bytes(column)
+            kind = classes[data]
+            start = common.word_starts(kind, offsets)
+            got, bounds = common.word_hashes(column, classes, lower)
+            assert (got == common.run_hashes(data, start, kind > 0, common.byte_values(lower))).all()
+            assert (bounds == np.searchsorted(np.flatnonzero(start), offsets)).all()
+
+
+def test_words_are_hashed_without_their_runs(monkeypatch):
+    """Short words, nearly all of them, do not take the dearer way by whole runs of bytes."""
+    monkeypatch.setattr(common, "run_hashes", None)
+    got, _ = common.word_hashes(pa.array(["some short words", None, "short"]), common.SHINGLE_WORDS)
+    assert len(got) == 4 and got[1] == got[3]
