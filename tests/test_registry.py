@@ -5,8 +5,10 @@ from __future__ import annotations
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from checks import bindings, registry
+from goldenlake.operators.quality import GateFailed
 
 
 @pytest.fixture
@@ -51,3 +53,27 @@ def test_line_items_are_shuffled_once(spark, tables, set_conf, plan_of):
     scans = [line for line in plan.splitlines() if "FileScan parquet" in line]
     depth = {key: len(line) - len(line.lstrip(" :+-*(0123456789)")) for line in scans for key in ("l_orderkey", "o_orderkey") if key in line}
     assert depth["l_orderkey"] < depth["o_orderkey"]
+
+
+@pytest.mark.parametrize("orphans", [False, True])
+def test_a_lake_whose_load_gate_fails_still_has_what_came_before(spark, tables, tmp_path, orphans):
+    """With unknown zones in a third of the trips the gate stops each run: nothing is published, the fact is whole."""
+    folder = str(tmp_path / "gate")
+    for name in ("region", "nation", "customer", "orders", "lineitem"):
+        rows = spark.read.parquet(f"{tables}/{name}.parquet")
+        if name == "lineitem" and orphans:
+            rows = rows.withColumn("l_partkey", F.expr("CASE WHEN l_orderkey % 3 = 0 THEN 300L ELSE l_partkey END"))
+        rows.write.parquet(f"{folder}/{name}.parquet")
+    fact = registry.QUERIES["fact_incremental"](spark, folder)
+    flags = {r.zone_orphan_flag for r in fact.select("zone_orphan_flag").collect()}
+    assert flags == ({True, False} if orphans else {False}) and fact.count() == registry.QUERIES["fact_trips"](spark, folder).count()
+    status = {r.status for r in registry.QUERIES["load_documents"](spark, folder).collect()}
+    assert status == {"FAILED" if orphans else "SUCCESS"}
+    for name in ("backup_snapshots", "curated_catalog", "fact_months_touched", "metric_points_log", "staged_runs", "serving_layout", "tables_exist"):
+        assert registry.QUERIES[name](spark, folder).count() > 0
+    for name in ("published_fact_trips", "published_zone_revenue", "published_dimensions", "audit_log"):
+        if orphans:
+            with pytest.raises(GateFailed, match="batch-1.*zone orphan rate.*batch-2"):
+                registry.QUERIES[name](spark, folder)
+        else:
+            assert registry.QUERIES[name](spark, folder).count() > 0
